@@ -57,13 +57,21 @@ def keep_providers(claims: DataFrame, providers: DataFrame, spread: tuple[str, .
     return claims.withColumn("_salt", salt).join(salted, [PROVIDER, "_salt"], "left_semi").drop("_salt")
 
 
+def _dated(claims: DataFrame) -> DataFrame:
+    return claims.filter(F.col(PROVIDER).isNotNull() & F.year("clm_from_dt").isNotNull())
+
+
 # --- shared pre-aggregates -----------------------------------------------------------------------
 
 
 def claim_cells(claims: DataFrame) -> DataFrame:
-    """One row per (provider, beneficiary, code, day) with its claim count."""
+    """One row per (provider, beneficiary, code, day) with its claim count.
+
+    The filter names the year because the joins further down imply the same filter: with equal
+    predicates all branches keep an equal subplan and share one scan and one exchange.
+    """
     return (
-        claims.filter(F.col(PROVIDER).isNotNull() & F.col("clm_from_dt").isNotNull())
+        _dated(claims)
         .groupBy(PROVIDER, "desynpuf_id", "primary_hcpcs_cd", F.col("clm_from_dt").alias("day"))
         .agg(F.count("*").alias("cnt"))
         .withColumn(YEAR, F.year("day"))
@@ -73,7 +81,7 @@ def claim_cells(claims: DataFrame) -> DataFrame:
 def amount_cells(claims: DataFrame) -> DataFrame:
     """Claims per (provider, year, place of service, ratio), with money summed in whole cents."""
     return (
-        claims.filter(F.col(PROVIDER).isNotNull() & F.col("clm_from_dt").isNotNull())
+        _dated(claims)
         .groupBy(
             PROVIDER,
             F.year("clm_from_dt").alias(YEAR),
@@ -209,6 +217,7 @@ _STACK = {
     "day_cnt": "bigint",
     "weekend_cnt": "bigint",
     "prior_cnt": "bigint",
+    "bene_cnt": "bigint",
     "bene_row": "int",
     "bene_id_row": "int",
     "exact": "int",
@@ -263,7 +272,14 @@ def provider_year_features(
         # A provider-year also counts as the prior year of the next one; rows for years without
         # claims of their own are dropped below, so a gap year yields zero.
         .unionByName(_stack_row(days.withColumn(YEAR, F.col(YEAR) + 1), prior_cnt=F.col("cnt")))
-        .unionByName(_stack_row(benes, bene_row=one, bene_id_row=F.when(F.col("desynpuf_id").isNotNull(), 1)))
+        .unionByName(
+            _stack_row(
+                benes,
+                bene_cnt=F.col("cnt"),
+                bene_row=one,
+                bene_id_row=F.when(F.col("desynpuf_id").isNotNull(), 1),
+            )
+        )
         .unionByName(_stack_row(dups, exact=F.col("exact"), near=F.col("near")))
         .unionByName(
             _stack_row(
@@ -276,9 +292,7 @@ def provider_year_features(
         )
         .unionByName(
             _stack_row(
-                outpatient.filter(F.col(PROVIDER).isNotNull() & F.col("clm_from_dt").isNotNull()).withColumn(
-                    YEAR, F.year("clm_from_dt")
-                ),
+                _dated(outpatient).withColumn(YEAR, F.year("clm_from_dt")),
                 op_row=one,
                 op_pay_row=F.when(F.col("clm_pmt_amt").isNotNull(), 1),
                 op_cents=(F.col("clm_pmt_amt") * 100).cast("bigint"),
@@ -295,10 +309,10 @@ def provider_year_features(
             F.max("day_cnt").alias("max_claims_in_single_day"),
             *[total(n).alias(n) for n in _STACK],
         )
-        .filter("day_cnt > 0")
+        .filter("bene_cnt > 0")
     )
 
-    claims_n = F.col("day_cnt")
+    claims_n = F.col("bene_cnt")
     per_bene = F.when(F.col("bene_row") > 0, claims_n / F.col("bene_row")).otherwise(0.0)
     joined = folded.join(amounts(amount_cells(claims)), KEYS, "left").join(code_mix(cells), KEYS, "left")
     out = joined.select(
