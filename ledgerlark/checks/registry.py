@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerlark.checks import feature_checks
+from ledgerlark.checks import cleaning_checks, feature_checks, increment_checks
 
-_MODULES = (feature_checks,)
+_MODULES = (feature_checks, cleaning_checks, increment_checks)
 
 
 def queries() -> dict:

@@ -98,8 +98,8 @@ def _wide_claims() -> str:
         ]
         npi = f"cast(npi_{i} AS string)"
         if i == 1:
-            npi = f"CASE WHEN k % 11 = 0 THEN '  ' WHEN k % 13 = 0 THEN concat(' ', {npi}, ' ') ELSE {npi} END"
-        code = f"CASE WHEN (k + {i}) % 17 = 0 THEN 'nan' WHEN (k + {i}) % 19 = 0 THEN '0' WHEN (k + {i}) % 23 = 0 THEN 'None' WHEN (k + {i}) % 29 = 0 THEN concat(' ', code_{i}) ELSE code_{i} END"
+            npi = f"CASE WHEN k % 11 = 0 THEN '  ' WHEN k % 13 = 0 THEN ' ' || {npi} || ' ' ELSE {npi} END"
+        code = f"CASE WHEN (k + {i}) % 17 = 0 THEN 'nan' WHEN (k + {i}) % 19 = 0 THEN '0' WHEN (k + {i}) % 23 = 0 THEN 'None' WHEN (k + {i}) % 29 = 0 THEN ' ' || code_{i} ELSE code_{i} END"
         amount = f"CASE WHEN (k + {i}) % 31 = 0 THEN 'abc' ELSE cast(allowed_{i} AS string) END"
         paid = f"CASE WHEN (k + {i}) % 37 = 0 THEN '' ELSE cast(paid_{i} AS string) END"
         outer += [
