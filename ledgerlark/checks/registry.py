@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerlark.checks import cleaning_checks, feature_checks, increment_checks
+from ledgerlark.checks import cleaning_checks, feature_checks, increment_checks, score_checks
 
-_MODULES = (feature_checks, cleaning_checks, increment_checks)
+_MODULES = (feature_checks, cleaning_checks, increment_checks, score_checks)
 
 
 def queries() -> dict:
