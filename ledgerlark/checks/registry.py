@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerlark.checks import cleaning_checks, feature_checks, increment_checks, score_checks
+from ledgerlark.checks import (
+    cleaning_checks,
+    feature_checks,
+    increment_checks,
+    learning_checks,
+    report_checks,
+    score_checks,
+)
 
-_MODULES = (feature_checks, cleaning_checks, increment_checks, score_checks)
+_MODULES = (feature_checks, cleaning_checks, increment_checks, score_checks, learning_checks, report_checks)
 
 
 def queries() -> dict:

@@ -28,7 +28,7 @@ def snap_all(df: DataFrame, digits: int = 6) -> DataFrame:
         c = F.col(field.name)
         if kind in ("double", "decimal"):
             c = snap(c, digits)
-        elif kind in ("date", "timestamp"):
+        elif kind in ("date", "timestamp", "timestamp_ntz"):
             c = c.cast("string")
         elif kind == "short":
             c = c.cast("int")

@@ -31,20 +31,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     )
 
 
-def smallest_by_hash(
+def mark_smallest(
     df: DataFrame,
     groups: Sequence[str],
     hash_col: str,
     quota: Callable[[Column], Column],
     ties: Sequence[str] = (),
+    out: str = "is_chosen",
 ) -> DataFrame:
-    """Exactly ``quota(n)`` rows of each group (n = its row count): those with the smallest hash.
+    """Marks exactly ``quota(n)`` rows of each group (n = its row count): those with the smallest hash.
 
-    Works on a histogram of hash prefixes: whole buckets below the quota are taken, and only rows that
-    share a bucket are ranked against each other.
+    Works on a histogram of hash prefixes, at most 65,536 buckets per group: buckets below the quota
+    are taken whole and only rows that share a bucket are ranked against each other.
     """
-    if df.isStreaming:
-        raise ValueError("needs a batch frame")
     tagged = df.withColumn("_bucket", F.substring(hash_col, 1, _BUCKET_DIGITS))
     running = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
@@ -52,19 +51,21 @@ def smallest_by_hash(
         tagged.groupBy(*groups, "_bucket")
         .agg(F.count("*").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-        .withColumn("_quota", quota(F.sum("_n").over(whole)))
-        .filter("_before < _quota")
-        .select(*groups, "_bucket", (F.col("_quota") - F.col("_before")).alias("_open"))
+        .select(*groups, "_bucket", (quota(F.sum("_n").over(whole)) - F.col("_before")).alias("_open"))
     )
     in_bucket = Window.partitionBy(*groups, "_bucket").orderBy(hash_col, *ties)
-    return (
-        tagged.join(buckets, [*groups, "_bucket"])
-        .withColumn("_rank", F.row_number().over(in_bucket))
-        .filter("_rank <= _open")
-        .select(*df.columns)
+    return tagged.join(buckets, [*groups, "_bucket"]).select(
+        *df.columns, (F.row_number().over(in_bucket) <= F.col("_open")).alias(out)
     )
 
 
+def smallest_by_hash(
+    df: DataFrame, groups: Sequence[str], hash_col: str, quota: Callable[[Column], Column], ties: Sequence[str] = ()
+) -> DataFrame:
+    """The rows that ``mark_smallest`` marks."""
+    return mark_smallest(df, groups, hash_col, quota, ties, "_chosen").filter("_chosen").drop("_chosen")
+
+
 def auc_by_group(df: DataFrame, groups: Sequence[str], score: str, label: str, buckets: int = 4096) -> DataFrame:
     """Area under the ROC curve per group, ties counted half; NULL when a class is missing.
 
