@@ -56,9 +56,9 @@ carrier AS (
          avg(CASE WHEN {CONDITIONS} >= 3 THEN 1.0 ELSE 0.0 END) AS high_chronic_burden_benes_pct,
          count(*) FILTER (clm_from_dt > death_date) AS claims_after_bene_death,
          count(*) FILTER (c.yr = year(death_date)) AS claims_in_bene_death_year,
-         avg(CAST(place_of_service_cd = '11' AS INT)) AS pct_claims_office,
-         avg(CAST(place_of_service_cd = '12' AS INT)) AS pct_claims_home,
-         avg(CAST(place_of_service_cd = '31' AS INT)) AS pct_claims_nursing_facility
+         avg(CASE WHEN place_of_service_cd = '11' THEN 1.0 ELSE 0.0 END) AS pct_claims_office,
+         avg(CASE WHEN place_of_service_cd = '12' THEN 1.0 ELSE 0.0 END) AS pct_claims_home,
+         avg(CASE WHEN place_of_service_cd = '31' THEN 1.0 ELSE 0.0 END) AS pct_claims_nursing_facility
   FROM claims c LEFT JOIN bene b ON b.desynpuf_id = c.desynpuf_id AND b.year = c.yr
   GROUP BY 1, 2)"""
 
@@ -274,7 +274,7 @@ ORACLE = {
         CLAIMS,
         "SELECT at_physn_npi, yr AS period_year, count(DISTINCT place_of_service_cd) AS distinct_pos_codes, "
         + ", ".join(
-            sql_snap(f"avg(CAST(place_of_service_cd = '{code}' AS INT))") + f" AS pct_claims_{name}"
+            sql_snap(f"avg(CASE WHEN place_of_service_cd = '{code}' THEN 1.0 ELSE 0.0 END)") + f" AS pct_claims_{name}"
             for code, name in (("11", "office"), ("12", "home"), ("31", "nursing_facility"))
         )
         + " FROM claims GROUP BY 1, 2",
