@@ -12,7 +12,7 @@ from ledgerlark.operators.merge import insert_if_absent
 from ledgerlark.operators.ranking import first_per_key
 from ledgerlark.schema import CHRONIC_FLAGS, LINE_ALLOWED, LINE_CODE, LINE_PAID, LINE_PROVIDER
 from ledgerlark.schema import OUTPATIENT_CODE, OUTPATIENT_REVENUE
-from ledgerlark.session import scratch_path
+from ledgerlark.session import materialise, scratch_path
 from ledgerlark.sources import raw
 from ledgerlark.sources import sample_views as views
 
@@ -133,54 +133,40 @@ def src_load_log(spark, sf_dir):
     return out.withColumn("sample_id", F.col("sample_id").cast("int"))
 
 
-def _file_frames(spark, sf_dir):
-    """(sample, file name, spec, frame) of the expected files that exist."""
+def _profile(spark, sf_dir):
     root = raw_zone(spark, sf_dir)
     found = {(r["sample"], r["file_name"]): r["location"] for r in raw.discover(spark, f"{root}/csv").collect()}
-    for sample, label in quality.SAMPLE_LABELS.items():
-        for spec in quality.FILE_SPECS.values():
-            name = spec.pattern.replace("{sample}", label)
-            if (sample, name) in found:
-                yield sample, name, spec, raw.read_csv(spark, found[(sample, name)])
-
-
-def _union(frames):
-    out = None
-    for f in frames:
-        out = f if out is None else out.unionByName(f)
-    return out
-
-
-def _row_audit(spark, sf_dir):
-    counts = _union(
-        df.agg(F.count("*").alias("rows")).select(F.lit(s).alias("sample"), F.lit(n).alias("file_name"), "rows")
-        for s, n, _, df in _file_frames(spark, sf_dir)
+    return quality.stack_profiles(
+        spark,
+        [
+            quality.file_profile(raw.read_csv(spark, found[key]), *key, spec)
+            for key, spec in quality.expected_specs().items()
+            if key in found
+        ],
     )
-    return quality.row_count_audit(quality.expected_files(spark), counts)
-
-
-def _column_audit(spark, sf_dir):
-    return _union(quality.required_columns_audit(df, s, n, spec.required) for s, n, spec, df in _file_frames(spark, sf_dir))
-
-
-def _null_audit(spark, sf_dir):
-    return _union(quality.key_null_audit(df, s, n, spec.keys) for s, n, spec, df in _file_frames(spark, sf_dir))
 
 
 def dq_row_count(spark, sf_dir):
-    return snap_all(_row_audit(spark, sf_dir))
+    return snap_all(quality.row_count_audit(quality.expected_files(spark), _profile(spark, sf_dir)))
 
 
 def dq_required_columns(spark, sf_dir):
-    return _column_audit(spark, sf_dir)
+    return quality.required_columns_audit(_profile(spark, sf_dir))
 
 
 def dq_key_null_rate(spark, sf_dir):
-    return snap_all(_null_audit(spark, sf_dir))
+    return snap_all(quality.key_null_audit(_profile(spark, sf_dir)))
 
 
 def dq_summary(spark, sf_dir):
-    return quality.summary([_row_audit(spark, sf_dir), _column_audit(spark, sf_dir), _null_audit(spark, sf_dir)])
+    profile = materialise(_profile(spark, sf_dir), "file-profiles")
+    return quality.summary(
+        [
+            quality.row_count_audit(quality.expected_files(spark), profile),
+            quality.required_columns_audit(profile),
+            quality.key_null_audit(profile),
+        ]
+    )
 
 
 def _with_id(df, *cols):

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.operators.ranking import smallest_by_hash
+
 SEED_POSITION = "1970-01-01"
 BATCH_SIZE = 500_000
 
@@ -57,18 +59,21 @@ def next_batch(claims: DataFrame, position: str | Column = SEED_POSITION, size:
 
 
 def next_batch_strict(
-    claims: DataFrame, position: str, size: int = BATCH_SIZE, ties: Sequence[str] = ("clm_id",)
+    claims: DataFrame, position: str, size: int = BATCH_SIZE, key: Sequence[str] = ("clm_id",)
 ) -> DataFrame:
-    """Exactly ``size`` claims by date, cutting the last day by ``ties``.
+    """Exactly ``size`` claims by date.
 
-    Whole days are taken by the day table; only the day that is cut is ranked.
+    Days before the cut are taken whole.  Inside the day that is cut, date gives no order; the claims
+    with the smallest hash of ``key`` are taken, without sorting the day in one task.
     """
     days = day_table(claims, position).filter(F.col("before") < size)
-    rank = Window.partitionBy("clm_from_dt").orderBy(*ties)
-    inside = F.broadcast(days.select(F.col("day").alias("clm_from_dt"), (F.lit(size) - F.col("before")).alias("open"), "cnt"))
+    inside = F.broadcast(
+        days.select(F.col("day").alias("clm_from_dt"), (F.lit(size) - F.col("before")).alias("_room"), "cnt")
+    )  # one row per calendar day
     tagged = claims.join(inside, "clm_from_dt")
-    whole = tagged.filter("cnt <= open").select(*claims.columns)
-    cut = tagged.filter("cnt > open").withColumn("_r", F.row_number().over(rank)).filter("_r <= open")
+    whole = tagged.filter("cnt <= _room").select(*claims.columns)
+    cut = tagged.filter("cnt > _room").withColumn("_h", F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key])))
+    cut = smallest_by_hash(cut, ["clm_from_dt", "_room"], "_h", lambda n: F.col("_room"), key)
     return whole.unionByName(cut.select(*claims.columns))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.features import PROVIDER, keep_providers
+from ledgerlark.operators.increments import next_batch_strict
 from ledgerlark.operators.ranking import smallest_by_hash
 
 # Share of providers per scenario, share of their claims copied, and code pairs.
@@ -135,9 +136,7 @@ def all_scenarios(
 ) -> DataFrame:
     """The three scenarios stacked.  ``max_claims`` keeps only the earliest claims; off by default."""
     if max_claims is not None:
-        from ledgerlark.operators.increments import next_batch_strict
-
-        claims = next_batch_strict(claims, "0001-01-01", max_claims, ["clm_id"])
+        claims = next_batch_strict(claims, "0001-01-01", max_claims)
     return (
         upcoding(claims, features, seed, codes=codes)
         .unionByName(phantom_billing(claims, features, seed))

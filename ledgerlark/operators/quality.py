@@ -67,30 +67,59 @@ FILE_SPECS = {
 SAMPLE_LABELS = {"sample_01": "Sample_1", "sample_02": "Sample_2"}
 
 
-def expected_files(spark: SparkSession, samples: dict[str, str] | None = None, specs=None) -> DataFrame:
-    """(sample, file_name, target) of every file that should be there."""
-    rows = [
-        (s, spec.pattern.replace("{sample}", label), spec.rows)
+def expected_specs(samples: dict[str, str] | None = None) -> dict[tuple[str, str], FileSpec]:
+    """(sample, file_name) -> specification of every file that should be there."""
+    return {
+        (s, spec.pattern.replace("{sample}", label)): spec
         for s, label in (samples or SAMPLE_LABELS).items()
-        for spec in (specs or FILE_SPECS).values()
-    ]
+        for spec in FILE_SPECS.values()
+    }
+
+
+def expected_files(spark: SparkSession, samples: dict[str, str] | None = None) -> DataFrame:
+    rows = [(s, name, spec.rows) for (s, name), spec in expected_specs(samples).items()]
     return spark.createDataFrame(rows, "sample string, file_name string, target bigint")
 
 
-def row_count_audit(expected: DataFrame, counts: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """MISSING and EMPTY files are errors; a count off target by more than the tolerance is a warning."""
-    n, target = F.col("rows"), F.col("target")
-    deviation = F.when(target > 0, F.abs(n - target) / target)
-    finding = (
-        F.when(n.isNull(), "MISSING").when(n == 0, "EMPTY").when(deviation > tolerance, "DEVIATION").otherwise("OK")
+PROFILE = (
+    "sample string, file_name string, rows bigint,"
+    " columns array<struct<column: string, required: boolean, key: boolean, present: boolean, filled: bigint>>"
+)
+
+
+def file_profile(file: DataFrame, sample: str, file_name: str, spec: FileSpec) -> DataFrame:
+    """One row per file: its row count and, for each needed or key column, whether the header has it
+    (in any case) and how many rows fill it.  One pass over the file; all audits start from here."""
+    have = {c.strip().lower(): c for c in file.columns}
+    wanted = list(dict.fromkeys([*spec.required, *spec.keys]))
+    stats = file.agg(
+        F.count("*").alias("rows"),
+        *[F.count(F.col(f"`{have[c]}`") if c in have else F.lit(None)).alias(f"n_{c}") for c in wanted],
     )
-    return (
-        expected.join(counts, ["sample", "file_name"], "left")
-        .select("sample", "file_name", "rows", "target", deviation.alias("deviation"), finding.alias("finding"))
-        .withColumn("severity", _severity())
+    columns = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(c in spec.required).alias("required"),
+                F.lit(c in spec.keys).alias("key"),
+                F.lit(c in have).alias("present"),
+                F.col(f"n_{c}").alias("filled"),
+            )
+            for c in wanted
+        ]
+    )
+    return stats.select(
+        F.lit(sample).alias("sample"), F.lit(file_name).alias("file_name"), "rows", columns.alias("columns")
     )
 
 
+def stack_profiles(spark: SparkSession, profiles: list[DataFrame]) -> DataFrame:
+    out = spark.createDataFrame([], PROFILE)
+    for p in profiles:
+        out = out.unionByName(p)
+    return out
+
+
 def _severity():
     return (
         F.when(F.col("finding").isin("MISSING", "EMPTY", "MISSING_COLUMN", "HIGH_NULL_RATE"), "error")
@@ -99,31 +128,38 @@ def _severity():
     )
 
 
-def required_columns_audit(file: DataFrame, sample: str, file_name: str, required: tuple[str, ...]) -> DataFrame:
-    """One row per required column: present in the header (any case)? and how many rows fill it."""
-    have = {c.strip().lower(): c for c in file.columns}
-    wanted = [c.lower() for c in required]
-    filled = file.agg(*[F.count(F.col(f"`{have[c]}`") if c in have else F.lit(None)).alias(c) for c in wanted])
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.lit(c in have).alias("present"), F.col(c).alias("filled")) for c in wanted]
+def row_count_audit(expected: DataFrame, profile: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """MISSING and EMPTY files are errors; a count off target by more than the tolerance is a warning."""
+    n, target = F.col("rows"), F.col("target")
+    deviation = F.when(target > 0, F.abs(n - target) / target)
+    finding = (
+        F.when(n.isNull(), "MISSING").when(n == 0, "EMPTY").when(deviation > tolerance, "DEVIATION").otherwise("OK")
     )
     return (
-        filled.select(F.inline(pairs))
-        .select(F.lit(sample).alias("sample"), F.lit(file_name).alias("file_name"), "column", "present", "filled")
+        expected.join(profile.select("sample", "file_name", "rows"), ["sample", "file_name"], "left")
+        .select("sample", "file_name", "rows", "target", deviation.alias("deviation"), finding.alias("finding"))
+        .withColumn("severity", _severity())
+    )
+
+
+def required_columns_audit(profile: DataFrame) -> DataFrame:
+    """One row per required column: present in the header? and how many rows fill it."""
+    return (
+        profile.select("sample", "file_name", F.inline("columns"))
+        .filter("required")
+        .select("sample", "file_name", "column", "present", "filled")
         .withColumn("finding", F.when(F.col("present"), "OK").otherwise("MISSING_COLUMN"))
         .withColumn("severity", _severity())
     )
 
 
-def key_null_audit(file: DataFrame, sample: str, file_name: str, keys: tuple[str, ...], limit: float = MAX_NULL_RATE) -> DataFrame:
-    """Share of rows without each key, over the whole file."""
-    have = {c.strip().lower(): c for c in file.columns}
-    present = [k for k in keys if k in have]
-    rates = file.agg(*[F.avg(F.col(f"`{have[k]}`").isNull().cast("int")).alias(k) for k in present])
-    pairs = F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).alias("null_rate")) for k in present])
+def key_null_audit(profile: DataFrame, limit: float = MAX_NULL_RATE) -> DataFrame:
+    """Share of rows without each key column that the file has, over the whole file."""
+    rate = F.when(F.col("rows") > 0, (F.col("rows") - F.col("filled")) / F.col("rows"))
     return (
-        rates.select(F.inline(pairs))
-        .select(F.lit(sample).alias("sample"), F.lit(file_name).alias("file_name"), "column", "null_rate")
+        profile.select("sample", "file_name", "rows", F.inline("columns"))
+        .filter("key AND present")
+        .select("sample", "file_name", "column", rate.alias("null_rate"))
         .withColumn("finding", F.when(F.col("null_rate") > limit, "HIGH_NULL_RATE").otherwise("OK"))
         .withColumn("severity", _severity())
     )

@@ -42,7 +42,8 @@ def mark_smallest(
     """Marks exactly ``quota(n)`` rows of each group (n = its row count): those with the smallest hash.
 
     Works on a histogram of hash prefixes, at most 65,536 buckets per group: buckets below the quota
-    are taken whole and only rows that share a bucket are ranked against each other.
+    are taken whole and only rows that share a bucket are ranked against each other.  The hash must
+    come from a key that is unique within the group.
     """
     tagged = df.withColumn("_bucket", F.substring(hash_col, 1, _BUCKET_DIGITS))
     running = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

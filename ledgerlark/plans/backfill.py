@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import cleanse, quality
+from ledgerlark.session import materialise
 from ledgerlark.sources import raw
 from ledgerlark.sources.tables import append, full_refresh
 from ledgerlark.sources.warehouse import Warehouse
@@ -17,31 +18,30 @@ def validate(spark: SparkSession, raw_root: str, samples: Sequence[str] = raw.SA
     """Audits of all expected files: (no errors?, findings with sample, file, finding, severity)."""
     labels = {s: quality.SAMPLE_LABELS[s] for s in samples}
     found = {(r["sample"], r["file_name"]): r["location"] for r in raw.discover(spark, raw_root).collect()}
-    counts, findings = [], []
-    for sample, label in labels.items():
-        for spec in quality.FILE_SPECS.values():
-            name = spec.pattern.replace("{sample}", label)
-            if (sample, name) not in found:
-                continue
-            df = raw.read_csv(spark, found[(sample, name)])
-            counts.append(df.agg(F.count("*").alias("rows")).select(F.lit(sample).alias("sample"), F.lit(name).alias("file_name"), "rows"))
-            findings.append(quality.required_columns_audit(df, sample, name, spec.required))
-            findings.append(quality.key_null_audit(df, sample, name, spec.keys))
-    counted = spark.createDataFrame([], "sample string, file_name string, rows bigint")
-    for c in counts:
-        counted = counted.unionByName(c)
-    out = quality.row_count_audit(quality.expected_files(spark, labels), counted)
-    out = out.select("sample", "file_name", F.lit(None).cast("string").alias("column"), "finding", "severity")
-    for f in findings:
-        out = out.unionByName(f.select("sample", "file_name", "column", "finding", "severity"))
+    profiles = [
+        quality.file_profile(raw.read_csv(spark, found[key]), *key, spec)
+        for key, spec in quality.expected_specs(labels).items()
+        if key in found
+    ]
+    profile = materialise(quality.stack_profiles(spark, profiles), "file-profiles")
+    audits = [
+        quality.row_count_audit(quality.expected_files(spark, labels), profile),
+        quality.required_columns_audit(profile),
+        quality.key_null_audit(profile),
+    ]
+    out = None
+    for audit in audits:
+        column = F.col("column") if "column" in audit.columns else F.lit(None).cast("string").alias("column")
+        part = audit.select("sample", "file_name", column, "finding", "severity")
+        out = part if out is None else out.unionByName(part)
     return out.filter("severity = 'error'").isEmpty(), out
 
 
 def transform_all(wh: Warehouse, parquet_root: str, samples: Sequence[str] = raw.SAMPLES) -> None:
     """Full refresh of the three typed tables; claim tables are partitioned by year.
 
-    Rows are sorted by provider inside each file, so provider filters skip row groups and the
-    map-side combine of the feature job finds a provider's claims next to each other.
+    Claims are clustered by provider, so provider filters skip row groups and the map-side combine of
+    the feature job finds a provider's claims next to each other.
     """
     staged = {k: raw.staging(wh.spark, parquet_root, k, samples) for k in ("beneficiary", "carrier", "outpatient")}
     full_refresh(cleanse.clean_beneficiaries(staged["beneficiary"]), wh.path("beneficiary_summary"))

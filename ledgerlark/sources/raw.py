@@ -79,13 +79,15 @@ def staging(spark: SparkSession, parquet_root: str, file_type: str, samples: Seq
     year of their file name.
     """
     index = F.create_map(*[x for i, s in enumerate(samples, start=1) for x in (F.lit(s), F.lit(i))])
-    df = (
-        spark.read.option("mergeSchema", True)
-        .option("recursiveFileLookup", True)
-        .parquet(*[f"{parquet_root.rstrip('/')}/{s}" for s in samples])
+    found = discover(spark, parquet_root, "parquet").filter(
+        F.lower("file_name").contains(file_type) & F.col("sample").isin(*samples)
     )
+    paths = [r["location"] for r in found.collect()]
+    if not paths:
+        raise FileNotFoundError(f"no {file_type} files below {parquet_root}")
+    df = spark.read.option("mergeSchema", True).parquet(*paths)
     names = [f.name for f in RAW_BY_TYPE[file_type].fields if f.name in df.columns]
-    rows = df.filter(F.lower(file_name()).contains(file_type)).select(
+    rows = df.select(
         *names,
         file_name().alias("file_name"),
         F.try_element_at(index, sample_name()).cast("smallint").alias("sample_id"),

@@ -28,10 +28,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
-    """Replace the whole table.  Sorting inside the files gives tight Parquet statistics."""
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
+def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
+    """Replace the whole table.
+
+    ``cluster_by`` brings equal values together and sorts them inside the files.  It is a rebalance:
+    adaptive execution cuts an oversized group into several files and merges small ones.
+    """
+    if cluster_by:
+        df = df.hint("rebalance", *partition_by, *cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
