@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.cleaning import chronic_count, is_weekend
 from ledgerlark.schema import CHRONIC_FLAGS, PROVIDER_FEATURES
+from ledgerlark.session import materialise
 
 PROVIDER = "at_physn_npi"
 YEAR = "period_year"
@@ -26,6 +27,8 @@ KEYS = [PROVIDER, YEAR]
 FULL_START = "1970-01-01"
 FULL_END = "9999-12-31"
 
+# Ids in a broadcast provider list: about 50 MB as a hash table.
+BROADCAST_PROVIDERS = 500_000
 _SALTS = 32
 
 
@@ -46,15 +49,18 @@ def active_providers(claims: DataFrame, start: str = FULL_START, end: str = FULL
     )
 
 
-def keep_providers(claims: DataFrame, providers: DataFrame, spread: tuple[str, ...]) -> DataFrame:
-    """Full history of the listed providers (semi-join).
+def keep_providers(claims: DataFrame, providers: DataFrame, spread: tuple[str, ...], list_size: int | None = None) -> DataFrame:
+    """Full history of the listed providers (semi-join).  ``providers`` has one row per provider.
 
-    The join key carries a salt from ``spread`` so that one very large provider is handled by many
-    tasks; the provider list, one short row per provider, is repeated once per salt.
+    A list of at most ``BROADCAST_PROVIDERS`` ids, counted first, is broadcast and claims do not move.
+    A longer list is joined on a key salted from ``spread``, so that one very large provider is
+    handled by many tasks; the list is repeated once per salt.
     """
+    if (providers.count() if list_size is None else list_size) <= BROADCAST_PROVIDERS:
+        return claims.join(F.broadcast(providers.select(PROVIDER)), PROVIDER, "left_semi").select(*claims.columns)
     salt = F.pmod(F.xxhash64(*spread), F.lit(_SALTS)).cast("int")
     salted = providers.select(PROVIDER, F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
-    return claims.withColumn("_salt", salt).join(salted, [PROVIDER, "_salt"], "left_semi").drop("_salt")
+    return claims.withColumn("_salt", salt).join(salted, [PROVIDER, "_salt"], "left_semi").select(*claims.columns)
 
 
 def _dated(claims: DataFrame) -> DataFrame:
@@ -253,7 +259,8 @@ def provider_year_features(
     With a window, only providers active in (start, end] are computed, from their full history.
     """
     if start is not None or end is not None:
-        active = active_providers(claims, start or FULL_START, end or FULL_END)
+        # Written once: three joins below read the list, and its length decides how they are done.
+        active = materialise(active_providers(claims, start or FULL_START, end or FULL_END), "active-providers")
         claims = keep_providers(claims, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
         outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
 

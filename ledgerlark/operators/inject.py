@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlark.operators.features import PROVIDER, keep_providers
 from ledgerlark.operators.increments import next_batch_strict
 from ledgerlark.operators.ranking import smallest_by_hash
+from ledgerlark.session import materialise
 
 # Share of providers per scenario, share of their claims copied, and code pairs.
 UPCODING_RATE = 0.04
@@ -44,9 +45,10 @@ def at_least_one(n: Column, share: float) -> Column:
 
 
 def target_providers(features: DataFrame, scenario: str, rate: float, seed: int = 42) -> DataFrame:
-    """max(1, int(n * rate)) of the distinct providers."""
+    """max(1, int(n * rate)) of the distinct providers, written once because several joins read them."""
     providers = features.select(PROVIDER).distinct().withColumn("_h", keyed_hash(seed, scenario, PROVIDER))
-    return smallest_by_hash(providers, [], "_h", lambda n: at_least_one(n, rate), [PROVIDER]).select(PROVIDER)
+    chosen = smallest_by_hash(providers, [], "_h", lambda n: at_least_one(n, rate), [PROVIDER])
+    return materialise(chosen.select(PROVIDER), "targets")
 
 
 def _labelled(features: DataFrame, targets: DataFrame, scenario: str) -> DataFrame:

@@ -37,6 +37,16 @@ def validate(spark: SparkSession, raw_root: str, samples: Sequence[str] = raw.SA
     return out.filter("severity = 'error'").isEmpty(), out
 
 
+def load_staging(wh: Warehouse, parquet_root: str, kind: str, samples: Sequence[str] = raw.SAMPLES) -> DataFrame:
+    """Full reload of one staging table, with its load log.  Optional: ``transform_all`` reads the
+    Parquet copies directly."""
+    rows = raw.staging(wh.spark, parquet_root, kind, samples)
+    full_refresh(rows, wh.path(f"staging_{kind}"))
+    stored = wh.spark.read.parquet(wh.path(f"staging_{kind}"))
+    append(raw.load_log(stored, f"staging_{kind}"), wh.path("load_log"))
+    return stored
+
+
 def transform_all(wh: Warehouse, parquet_root: str, samples: Sequence[str] = raw.SAMPLES) -> None:
     """Full refresh of the three typed tables; claim tables are partitioned by year.
 

@@ -10,6 +10,7 @@ from ledgerlark.functions.scoring import metrics, risk_score, spread_comparison
 from ledgerlark.operators import forest, reports
 from ledgerlark.operators.scores import with_decision
 from ledgerlark.session import materialise
+from ledgerlark.sources.tables import table_exists
 from ledgerlark.sources.warehouse import MODELS, PROMOTIONS, Warehouse
 
 KEYS = ["at_physn_npi", "period_year"]
@@ -22,8 +23,11 @@ def registry(wh: Warehouse):
 
 
 def active_model(wh: Warehouse, model_type: str = MODEL_TYPE) -> tuple[int, forest.ForestModel] | None:
+    """Active model, or None when there is none or its tables are gone."""
     row = reports.active_models(registry(wh), model_type).first()
-    return None if row is None else (int(row["model_id"]), forest.load_model(wh.spark, row["model_path"]))
+    if row is None or not table_exists(wh.spark, f"{row['model_path']}/meta"):
+        return None
+    return int(row["model_id"]), forest.load_model(wh.spark, row["model_path"])
 
 
 def train_model(wh: Warehouse, now: datetime, contamination: float = 0.05, trees: int = 200) -> tuple[int, forest.ForestModel]:

@@ -168,3 +168,14 @@ def test_pairs_match_the_duplicate_counts(spark):
     assert (pairs["exact"], pairs["near"]) == (surplus, near)
     both = claim_pairs(df).join(df.select(F.col("clm_id").alias("clm_id_a"), F.col("clm_from_dt").alias("da")), "clm_id_a")
     assert both.filter("da <> date_a OR clm_id_a = clm_id_b OR date_diff_days NOT BETWEEN 0 AND 3").isEmpty()
+
+
+def test_long_and_short_provider_lists_keep_the_same_claims(spark):
+    df = claims(spark, _skewed(spark))
+    some = spark.createDataFrame([("BIG",), ("N3",)], "at_physn_npi string")
+    spread = ("desynpuf_id", "clm_from_dt", "clm_id")
+    short = fx.keep_providers(df, some, spread)
+    long = fx.keep_providers(df, some, spread, list_size=10**9)
+    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect())) and short.columns == long.columns
+    assert "BroadcastHashJoin" in short._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in long._jdf.queryExecution().executedPlan().toString()

@@ -72,6 +72,16 @@ def test_conversion_skips_existing_targets(spark, zone, wh):
     assert len(forced) == 6 and {r["status"] for r in forced} == {"converted"}
 
 
+def test_staging_is_reloaded_as_a_whole(spark, zone, tmp_path):
+    own = Warehouse(spark, str(tmp_path))
+    for _ in range(2):
+        rows = backfill.load_staging(own, str(zone / "parquet"), "beneficiary")
+    assert sorted((r.year, r.sample_id) for r in rows.select("year", "sample_id").distinct().collect()) == [
+        (y, s) for y in (2008, 2009, 2010) for s in (1, 2)
+    ]
+    assert rows.count() == 42 and spark.read.parquet(own.path("load_log")).count() == 12
+
+
 def test_tables_of_the_backfill(spark, wh):
     assert wh.carrier().count() == 120 and wh.outpatient().count() == 20
     bene = wh.beneficiaries()
