@@ -41,12 +41,27 @@ def _count_if(cond: Column, weight: str = "cnt") -> Column:
 
 def active_providers(claims: DataFrame, start: str = FULL_START, end: str = FULL_END) -> DataFrame:
     """Providers with a claim dated in the half-open window (start, end]."""
-    day = F.col("clm_from_dt")
-    return (
-        claims.filter(F.col(PROVIDER).isNotNull() & (day > F.lit(start).cast("date")) & (day <= F.lit(end).cast("date")))
-        .select(PROVIDER)
-        .distinct()
-    )
+    return dated_between(claims, start, end).filter(F.col(PROVIDER).isNotNull()).select(PROVIDER).distinct()
+
+
+def dated_between(claims: DataFrame, start: str | Column | None = None, end: str | Column | None = None) -> DataFrame:
+    """Claims dated after ``start`` and up to ``end``.
+
+    Tables are partitioned by year, so the years of the bounds are named too: partitions outside are
+    not read.
+    """
+
+    def day(bound: str | Column) -> Column:
+        return F.lit(bound).cast("date") if isinstance(bound, str) else bound
+
+    by_year = "claim_year" in claims.columns
+    if start is not None:
+        claims = claims.filter(F.col("clm_from_dt") > day(start))
+        claims = claims.filter(F.col("claim_year") >= F.year(day(start))) if by_year else claims
+    if end is not None:
+        claims = claims.filter(F.col("clm_from_dt") <= day(end))
+        claims = claims.filter(F.col("claim_year") <= F.year(day(end))) if by_year else claims
+    return claims
 
 
 def keep_providers(claims: DataFrame, providers: DataFrame, spread: tuple[str, ...], list_size: int | None = None) -> DataFrame:
@@ -175,7 +190,8 @@ def duplicate_days(cells: DataFrame) -> DataFrame:
     A row that follows another on the same day has gap 0 and never counts, so one flag per day equals
     the row-wise definition.  The window holds at most one row per calendar day, across years.
     """
-    order = Window.partitionBy(PROVIDER, "desynpuf_id", "primary_hcpcs_cd").orderBy("day")
+    group = [PROVIDER, "desynpuf_id", "primary_hcpcs_cd"]
+    order = Window.partitionBy(*group).orderBy("day")
     gap = F.date_diff("day", F.lag("day").over(order))
     return cells.select(
         *KEYS,
@@ -223,7 +239,6 @@ def beneficiary_profile(joined: DataFrame) -> DataFrame:
 _STACK = {
     "day_cnt": "bigint",
     "weekend_cnt": "bigint",
-    "prior_cnt": "bigint",
     "bene_cnt": "bigint",
     "bene_row": "int",
     "bene_id_row": "int",
@@ -277,9 +292,6 @@ def provider_year_features(
             day_cnt=F.col("cnt"),
             weekend_cnt=F.when(is_weekend(F.col("day")), F.col("cnt")).otherwise(0),
         )
-        # A provider-year also counts as the prior year of the next one; rows for years without
-        # claims of their own are dropped below, so a gap year yields zero.
-        .unionByName(_stack_row(days.withColumn(YEAR, F.col(YEAR) + 1), prior_cnt=F.col("cnt")))
         .unionByName(
             _stack_row(
                 benes,
@@ -288,7 +300,7 @@ def provider_year_features(
                 bene_id_row=F.when(F.col("desynpuf_id").isNotNull(), 1),
             )
         )
-        .unionByName(_stack_row(dups, exact=F.col("exact"), near=F.col("near")))
+        .unionByName(_stack_row(dups.filter("exact + near > 0"), exact=F.col("exact"), near=F.col("near")))
         .unionByName(
             _stack_row(
                 profile,
@@ -323,6 +335,10 @@ def provider_year_features(
     claims_n = F.col("bene_cnt")
     per_bene = F.when(F.col("bene_row") > 0, claims_n / F.col("bene_row")).otherwise(0.0)
     joined = folded.join(amounts(amount_cells(claims)), KEYS, "left").join(code_mix(cells), KEYS, "left")
+    # At most one row per year and provider.  The row before counts only if it is the year before.
+    years = Window.partitionBy(PROVIDER).orderBy(YEAR)
+    prior = F.when(F.lag(YEAR).over(years) == F.col(YEAR) - 1, F.lag("bene_cnt").over(years)).otherwise(0)
+    joined = joined.withColumn("prior_cnt", prior)
     out = joined.select(
         *KEYS,
         F.lit(batch_id).alias("batch_id"),

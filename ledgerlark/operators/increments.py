@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.operators.features import dated_between
 from ledgerlark.operators.ranking import smallest_by_hash
 
 SEED_POSITION = "1970-01-01"
@@ -26,7 +27,7 @@ def day_table(claims: DataFrame, position: str | Column = SEED_POSITION) -> Data
     """Claims per day after the position, with the running total before each day."""
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        claims.filter(F.col("clm_from_dt") > _day(position))
+        dated_between(claims, position)
         .groupBy(F.col("clm_from_dt").alias("day"))
         .agg(F.count("*").alias("cnt"))
         .withColumn("before", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
@@ -55,7 +56,7 @@ def batch_window(
 def next_batch(claims: DataFrame, position: str | Column = SEED_POSITION, size: int = BATCH_SIZE) -> DataFrame:
     """The claims of the next batch: dates in (position, end of batch]."""
     end = batch_window(claims, position, size).select("batch_end").scalar()
-    return claims.filter((F.col("clm_from_dt") > _day(position)) & (F.col("clm_from_dt") <= end))
+    return dated_between(claims, position, end)
 
 
 def next_batch_strict(
@@ -79,4 +80,4 @@ def next_batch_strict(
 
 def late_rows(arrivals: DataFrame, position: str | Column) -> DataFrame:
     """Arrivals dated at or before the position: a date-based reader never selects them."""
-    return arrivals.filter(F.col("clm_from_dt") <= _day(position))
+    return dated_between(arrivals, end=position)

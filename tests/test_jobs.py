@@ -89,6 +89,10 @@ def test_tables_of_the_backfill(spark, wh):
     assert bene.filter("death_date IS NOT NULL").select("desynpuf_id", "year").collect() == [("B1", 2009)]
     log = spark.read.parquet(wh.path("load_log"))
     assert log.agg(F.sum("rows_loaded")).first()[0] == 120 + 20 + 42
+    from ledgerlark.operators.features import active_providers
+
+    plan = active_providers(wh.carrier(), "2009-12-01", "2010-02-01")._jdf.queryExecution().executedPlan().toString()
+    assert "(claim_year" in plan.split("PartitionFilters: ")[1].split("]")[0] and ">= 2009" in plan and "<= 2010" in plan
     plan = wh.carrier().filter("claim_year = 2009 AND at_physn_npi = 'P1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(claim_year" in plan and "EqualTo(at_physn_npi,P1)" in plan
 
