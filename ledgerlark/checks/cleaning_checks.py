@@ -15,6 +15,7 @@ from ledgerlark.schema import OUTPATIENT_CODE, OUTPATIENT_REVENUE
 from ledgerlark.session import materialise, scratch_path
 from ledgerlark.sources import raw
 from ledgerlark.sources import sample_views as views
+from ledgerlark.sources.tables import table_exists
 
 _ZONES: dict[tuple[str, str], str] = {}
 
@@ -34,7 +35,9 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> str:
     audits have something to find.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _ZONES:
+    if key in _ZONES and table_exists(
+        spark, f"{_ZONES[key]}/parquet/sample_01/{_BENE_FILE.format(year=2008, s=1)}.parquet"
+    ):
         return _ZONES[key]
     root = scratch_path(spark, "raw-zone")
     wide = views.wide_claims(spark, sf_dir)

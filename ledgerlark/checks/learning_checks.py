@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.checks.score_checks import FEATURES, feature_table
-from ledgerlark.checks.support import snap, snap_all, sql_snap
+from ledgerlark.checks.support import once_per_session, snap, snap_all, sql_snap
 from ledgerlark.operators import inject as inj
 from ledgerlark.operators import supervised as sup
-from ledgerlark.session import materialise
 from ledgerlark.sources import sample_views as views
 
 # Codes of the test tables that stand in for the real pairs.
@@ -19,8 +18,6 @@ SHOWN = (
     "exact_duplicate_count", "duplicate_rate", "label", "scenario",
 )
 
-_UNIONS: dict[tuple[str, str], DataFrame] = {}
-
 
 def inj_targets(spark, sf_dir):
     features = feature_table(spark, sf_dir)
@@ -54,12 +51,13 @@ def inj_duplicates(spark, sf_dir):
 
 
 def labelled(spark, sf_dir) -> DataFrame:
-    """All scenarios stacked, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _UNIONS:
-        rows = inj.all_scenarios(views.claims(spark, sf_dir), feature_table(spark, sf_dir), codes=CODES)
-        _UNIONS[key] = materialise(rows, "labelled")
-    return _UNIONS[key]
+    """All scenarios stacked."""
+    return once_per_session(
+        spark,
+        sf_dir,
+        "labelled",
+        lambda: inj.all_scenarios(views.claims(spark, sf_dir), feature_table(spark, sf_dir), codes=CODES),
+    )
 
 
 def inj_union(spark, sf_dir):
@@ -109,11 +107,12 @@ _FITTED: dict = {}
 
 
 def _fitted(spark, sf_dir):
+    """Small model (5 rounds of depth 3), its scaler, and the split rows."""
+    rows = once_per_session(spark, sf_dir, "split", lambda: _split(spark, sf_dir))
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
-        rows = materialise(_split(spark, sf_dir), "split")
-        _FITTED[key] = (*sup.train(rows, {"maxIter": 5, "maxDepth": 3}), rows)
-    return _FITTED[key]
+        _FITTED[key] = sup.train(rows, {"maxIter": 5, "maxDepth": 3})
+    return (*_FITTED[key], rows)
 
 
 def sup_gbt(spark, sf_dir):

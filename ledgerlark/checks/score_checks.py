@@ -6,34 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.checks import feature_checks as fc
-from ledgerlark.checks.support import snap, snap_all, sql_snap
+from ledgerlark.checks.support import once_per_session, snap, snap_all, sql_snap
 from ledgerlark.functions import scoring as sc
 from ledgerlark.functions.reasons import REASON_TEMPLATES
 from ledgerlark.operators import attribution as at
 from ledgerlark.operators import forest, scaling, scores
 from ledgerlark.operators.features import provider_year_features
 from ledgerlark.schema import MODEL_FEATURES
-from ledgerlark.session import materialise
 from ledgerlark.sources import sample_views as views
 
 KEYS = ["at_physn_npi", "period_year"]
 THRESHOLD = 60
-_TABLES: dict[tuple[str, str], DataFrame] = {}
 _MODELS: dict[tuple[str, str], forest.ForestModel] = {}
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table of the sample claims, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TABLES:
-        rows = provider_year_features(
-            views.claims(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir), batch_id=1
+    """The feature table of the sample claims."""
+
+    def build() -> DataFrame:
+        return snap_all(
+            provider_year_features(
+                views.claims(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir), batch_id=1
+            )
         )
-        _TABLES[key] = materialise(snap_all(rows), "features")
-    return _TABLES[key]
+
+    return once_per_session(spark, sf_dir, "features", build)
 
 
 def model(spark: SparkSession, sf_dir: str) -> forest.ForestModel:
+    """Forest of the feature table, kept for the session: a few megabytes of node arrays."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         _MODELS[key] = forest.train(feature_table(spark, sf_dir), KEYS)

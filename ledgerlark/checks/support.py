@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.session import scratch_path
 from ledgerlark.sources import sample_views as views
+from ledgerlark.sources.tables import table_exists
 
 
 def snap(c: Column | str, digits: int = 6) -> Column:
@@ -36,6 +40,18 @@ def snap_all(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
+_ONCE: dict[tuple, str] = {}
+
+
+def once_per_session(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table that several queries read: written on first use, again if it has been removed."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ONCE or not table_exists(spark, _ONCE[key]):
+        _ONCE[key] = scratch_path(spark, name)
+        build().write.parquet(_ONCE[key])
+    return spark.read.parquet(_ONCE[key])
+
+
 RATIO4 = (
     "CASE WHEN allowed_amt > 0 THEN (CAST(clm_pmt_amt * 100 AS BIGINT) * 20000 + CAST(allowed_amt * 100 AS BIGINT))"
     " // (2 * CAST(allowed_amt * 100 AS BIGINT)) END"
