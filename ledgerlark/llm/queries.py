@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, line_dedup, quality_rules, sharding
+from ledgerlark.llm import chat, line_dedup, near_dups, quality_rules, sharding
 from ledgerlark.llm.common import read_table
 
 N_SHARDS = 24
@@ -51,11 +51,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
     "op6_line_dedup": op6_line_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -116,7 +121,18 @@ q AS (SELECT f.lang, f.source, f.rule, {pick("mid")}, {pick("low")}, {pick("high
 judged AS (SELECT *, bf AS base_failed, NOT bf AND NOT ({" OR ".join(fails)}) AS kept FROM m m2)"""
 
 
+SQL_COMPONENTS = f"""
+sh_w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM {{docs}}),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM sh_w, unnest(range(1, greatest(len(ws) - 3, CASE WHEN len(ws) > 0 THEN 2 ELSE 1 END))) AS u(i)),
+sh_n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (SELECT x.a, x.b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL) x
+          JOIN sh_n p ON p.doc_id = x.a JOIN sh_n q ON q.doc_id = x.b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM {{docs}} UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)"""
+
 ORACLE = {
+    "op10_jaccard_join": f"""WITH RECURSIVE {SQL_COMPONENTS.format(docs="documents")}
+SELECT comp.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM comp LEFT JOIN sh_n ON sh_n.doc_id = comp.doc_id""",
     "op6_line_dedup": f"""WITH {SQL_LINES.format(docs="documents")}
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
