@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, line_dedup, near_dups, quality_rules, sharding
+from ledgerlark.llm import chat, line_dedup, near_dups, packing, quality_rules, sharding
 from ledgerlark.llm.common import read_table
 
 N_SHARDS = 24
@@ -22,6 +22,10 @@ def op1_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -57,6 +61,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
+    "op5_two_fit_packing": op5_two_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
