@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, line_dedup, near_dups, packing, quality_rules, sharding
+from ledgerlark.llm import chat, language, line_dedup, near_dups, packing, quality_model, quality_rules, sharding
 from ledgerlark.llm.common import read_table
 
 N_SHARDS = 24
@@ -22,6 +22,23 @@ def op1_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = quality_model.score(docs, quality_model.fit(docs, labels, _fold(5) != 0))
+    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    out = language.predict(docs, language.fit(docs, _fold(4) != 2))
+    return out.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +78,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
+    "op3_compression_quality": op3_compression_quality,
+    "op4_ppm_language": op4_ppm_language,
     "op5_two_fit_packing": op5_two_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_chat_format": op8_chat_format,
