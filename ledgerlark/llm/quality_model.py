@@ -1,8 +1,9 @@
 """Quality score by compression: one zstandard dictionary from good text, one from bad.
 
 A text is compressed block by block with either dictionary, so the dictionary counts everywhere in a long text, not
-only at its start.  The difference of the two sizes over their sum is the feature; a logistic curve fitted on
-labelled documents that no dictionary has seen turns it into a score.
+only at its start.  The difference of the two compressed sizes over the text's own size is the feature.  Short
+texts are drawn to the corpus mean, the feature is bent to limit outliers, and a logistic curve fitted on labelled
+documents that no dictionary has seen turns it into a score.
 
 Fitted on a bounded sample: about ``sample`` labelled documents per class (two thirds for the dictionaries, one
 third for the curve), from each at most ``BLOCKS_PER_DOC`` blocks for the dictionaries.  The sample is drawn by
@@ -23,19 +24,21 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import Scratch
 
-BLOCK = 256
+BLOCK = 512
 BLOCKS_PER_DOC = 8
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 SAMPLE = 2400
-#: Added to the sizes' sum: very short texts stay near the middle.
-SMOOTHING = 16
+#: Every text counts as if so many more bytes of average quality belonged to it.
+PRIOR_BYTES = 128
+BEND = 20.0
 
 
 @dataclass(frozen=True)
 class CompressionModel:
     good: bytes
     bad: bytes
+    prior: float
     bias: float
     slope: float
 
@@ -50,13 +53,13 @@ def _blocks(text: str | None) -> list[bytes]:
     return [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
 
 
-def size_difference(text: str | None, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> float:
-    """Above 0: the dictionary of good text compresses better.  Empty texts give 0."""
-    with_good = with_bad = 0
+def size_difference(text: str | None, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> tuple[int, int]:
+    """(bytes that the dictionary of good text saves against the other, bytes of the text)."""
+    saved = size = 0
     for b in _blocks(text):
-        with_good += len(good.compress(b))
-        with_bad += len(bad.compress(b))
-    return (with_bad - with_good) / (with_bad + with_good + SMOOTHING)
+        saved += len(bad.compress(b)) - len(good.compress(b))
+        size += len(b)
+    return saved, size
 
 
 def _sample_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,11 +76,12 @@ def _sample_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _features(batches: Iterator[pa.RecordBatch], good: bytes, bad: bytes) -> Iterator[pa.RecordBatch]:
-    """Replace the last column (text) by the feature."""
+    """Replace the last column (text) by saved and size."""
     a, b = _compressor(good), _compressor(bad)
     for rb in batches:
-        x = [size_difference(t, a, b) for t in rb.column(rb.num_columns - 1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*rb.columns[:-1], pa.array(x, pa.float64())], names=[*rb.schema.names[:-1], "x"])
+        found = [size_difference(t, a, b) for t in rb.column(rb.num_columns - 1).to_pylist()]
+        cols = [*rb.columns[:-1], pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())]
+        yield pa.RecordBatch.from_arrays(cols, names=[*rb.schema.names[:-1], "saved", "size"])
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -125,15 +129,21 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE)
     for own in blocks.values():
         own.sort()  # the order in which tasks end does not matter
     good, bad = _dictionary(blocks[1]), _dictionary(blocks[0])
-    rows = chosen.where("part = 2").select("label", "text").mapInArrow(partial(_features, good=good, bad=bad), "label int, x double").collect()
-    x, y = np.array([r["x"] for r in rows], dtype=float), np.array([r["label"] for r in rows], dtype=float)
+    rows = chosen.where("part = 2").select("label", "text").mapInArrow(partial(_features, good=good, bad=bad), "label int, saved long, size long").collect()
+    saved, size, y = (np.array([r[c] for r in rows], dtype=float) for c in ("saved", "size", "label"))
     weight = np.where(y == 1, counts.get(1, 0) / max(1, (y == 1).sum()), counts.get(0, 0) / max(1, (y == 0).sum()))
+    prior = float((weight * saved / np.maximum(size, 1)).sum() / max(weight.sum(), 1e-9))
+    x = np.tanh(BEND * (saved + prior * PRIOR_BYTES) / (size + PRIOR_BYTES))
     bias, slope = _fit_curve(x, y, weight)
     scratch.drop("sample")
-    return CompressionModel(good, bad, bias, slope)
+    return CompressionModel(good, bad, prior, bias, slope)
 
 
 def score(docs: DataFrame, model: CompressionModel) -> DataFrame:
-    """(doc_id, score) for each row of ``docs``; only the text decides.  Null texts count as empty."""
-    x = docs.select("doc_id", "text").mapInArrow(partial(_features, good=model.good, bad=model.bad), "doc_id long, x double")
-    return x.select("doc_id", (1 / (1 + F.exp(-(F.lit(model.bias) + F.lit(model.slope) * F.col("x"))))).alias("score"))
+    """(doc_id, score) for each row of ``docs``; only the text decides.
+
+    Null texts count as empty and score like average text.  Repeated rows score alike.
+    """
+    sizes = docs.select("doc_id", "text").mapInArrow(partial(_features, good=model.good, bad=model.bad), "doc_id long, saved long, size long")
+    x = F.tanh(BEND * (F.col("saved") + model.prior * PRIOR_BYTES) / (F.col("size") + PRIOR_BYTES))
+    return sizes.select("doc_id", (1 / (1 + F.exp(-(F.lit(model.bias) + F.lit(model.slope) * x)))).alias("score"))
