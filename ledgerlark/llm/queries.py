@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, language, line_dedup, near_dups, packing, quality_model, quality_rules, secret_scan, sharding
+from ledgerlark.llm import chat, decontaminate, language, line_dedup, near_dups, packing, quality_model, quality_rules, secret_scan, sharding
 from ledgerlark.llm.common import read_table
 
 N_SHARDS = 24
@@ -22,6 +22,11 @@ def op1_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "similarity", "distance")
+
+
 def _fold(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
@@ -89,6 +94,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
+    "op2_simhash_decontamination": op2_simhash_decontamination,
     "op3_compression_quality": op3_compression_quality,
     "op4_ppm_language": op4_ppm_language,
     "op5_two_fit_packing": op5_two_fit_packing,
