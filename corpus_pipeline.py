@@ -1,12 +1,55 @@
-"""Corpus pipeline: quality rules, line dedup, near-duplicate join, benchmark decontamination, packing."""
+"""Corpus pipeline: quality rules, line dedup, near-duplicate join, benchmark decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and returns the columns of
+``documents``; the last one returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlark.llm import decontaminate, line_dedup, near_dups, packing, quality_rules
 from ledgerlark.llm.common import Scratch, read_table
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the adaptive rules keep."""
+    return quality_rules.apply_rules(docs, docs.columns).where("kept").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that stand in ten documents or more; n_chars follows the text."""
+    out = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dups.keep_one(docs)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("jaccard_join", near_duplicates),
+    ("decontamination", benchmark_free),
+    ("packing", packed),
+]
+
+#: Tokens come from a vocabulary file, which SQL cannot read; tests/llm holds a brute-force version.
 ORACLE_SQL: str | None = None
 
 
