@@ -57,8 +57,6 @@ class Scratch:
         writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
         writer.parquet(path)
         self.paths[name] = path
-        if partition_by is not None:
-            return self.spark.read.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
