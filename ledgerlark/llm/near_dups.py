@@ -246,7 +246,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     one = sized.groupBy("node").agg(F.min(F.struct("_rk1", "_rk2", "n")).alias("r")).join(clusters, "node")
     members = scratch.write(one.select("node", "cluster", "r.n", "r._rk1", "r._rk2"), "members")
     wanted = members.select("_rk1", "_rk2", "node")
-    if members.count() <= BROADCAST_KEYS:  # 24 bytes each; else both sides are shuffled
+    few = members.count() <= BROADCAST_KEYS  # rows of a few numbers; beyond that both sides of a join are shuffled
+    if few:
         wanted = F.broadcast(wanted)
     # a repeated row has the same key, node and text
     chosen = keyed.join(wanted, ["_rk1", "_rk2"]).select("text", "node")
@@ -262,8 +263,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     anchor = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < F.lit(ANCHORS * (1 << 30)) / F.col("docs"))
     own = spread.select("cluster", "chunk", "node")
     lent = spread.where(anchor).select("cluster", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "node")
-    placed = own.unionAll(lent).distinct().join(sets, "node")
-    links = scratch.write(_links(placed.withColumns({"comp": F.col("node"), "probe": F.lit(True)}), ["cluster", "chunk"]), "links")
+    placed = own.unionAll(lent).distinct().withColumns({"comp": F.col("node"), "probe": F.lit(True)})
+    with_sets = lambda rows: sets.join(F.broadcast(rows) if few else rows, "node")
+    links = scratch.write(_links(with_sets(placed), ["cluster", "chunk"]), "links")
     comps = scratch.write(components(links, scratch, "first"), "first")
 
     large = spread.where("chunks > 1").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -277,9 +279,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     others = marked.join(n_probes, "cluster").select(
         "cluster", "chunk", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), "node", "comp", F.lit(False).alias("probe")
     )
-    more = scratch.write(_links(probes.unionAll(others).join(sets, "node"), ["cluster", "chunk", "deal"]), "more")
+    again = scratch.write(probes.unionAll(others), "again")
+    few = again.count() <= BROADCAST_KEYS
+    more = scratch.write(_links(with_sets(again), ["cluster", "chunk", "deal"]), "more")
     final = scratch.write(components(links.unionAll(more), scratch, "final"), "final")
-    scratch.drop("sets", "links", "more", "members", "spread", "marked", "first", "clusters")
+    scratch.drop("sets", "links", "more", "again", "members", "spread", "marked", "first", "clusters")
 
     ids = sized.groupBy("node").agg(F.min("doc_id").alias("low")).join(final, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = ids.select("node", "comp").join(ids.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("node", "component_id")
@@ -292,15 +296,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows without a doc_id stay.  Of repeated rows with that doc_id the first by text stays.
     """
-    found = near_duplicates(docs)
     scratch = Scratch(docs.sparkSession, "kept")
-    stays = scratch.write(
-        found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_repeats")), "ids"
-    )
-    joined = docs.join(stays, "doc_id", "left")
-    single = joined.where(F.col("doc_id").isNull() | (F.col("_repeats") == 1)).select(*docs.columns)
-    if stays.where("_repeats > 1").isEmpty():
-        return single
+    found = scratch.write(near_duplicates(docs), "found")
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeats = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeats.isEmpty():
+        return left
     first = Window.partitionBy("doc_id").orderBy(F.col("text"), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
-    again = joined.where("_repeats > 1").withColumn("_at", F.row_number().over(first)).where("_at = 1").select(*docs.columns)
-    return single.unionByName(again)
+    again = left.join(repeats, "doc_id", "left_semi").withColumn("_at", F.row_number().over(first)).where("_at = 1").select(*docs.columns)
+    return left.join(repeats, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
