@@ -16,6 +16,7 @@ from ledgerlark.checks.support import (
 )
 from ledgerlark.operators import features as fx
 from ledgerlark.operators.merge import replace_by_key
+from ledgerlark.session import materialise
 from ledgerlark.sources import sample_views as views
 
 NPI = "at_physn_npi"
@@ -228,7 +229,7 @@ def feat_keyed_replace(spark, sf_dir):
     claims = views.claims(spark, sf_dir)
     old = fx.code_mix(fx.claim_cells(claims.filter("clm_from_dt < date'1998-01-01'")))
     new = fx.code_mix(fx.claim_cells(claims.filter("clm_from_dt >= date'1997-01-01'")))
-    new = new.withColumn("top_hcpcs_code", F.concat(F.lit("new:"), "top_hcpcs_code"))
+    new = materialise(new.withColumn("top_hcpcs_code", F.concat(F.lit("new:"), "top_hcpcs_code")), "replacement")
     return snap_all(replace_by_key(old, new, KEYS))
 
 

@@ -11,6 +11,7 @@ from ledgerlark.operators import increments as inc
 from ledgerlark.operators.merge import replace_by_key
 from ledgerlark.operators.pairs import claim_pairs
 from ledgerlark.operators.ranking import first_per_key
+from ledgerlark.session import materialise
 from ledgerlark.sources import sample_views as views
 
 POSITION = "2024-01-10"
@@ -54,7 +55,7 @@ def inc_refresh(spark, sf_dir):
     bene, op = views.bene(spark, sf_dir), views.outpatient(spark, sf_dir)
     before = claims.filter("clm_from_dt <= date'2000-12-31'")
     old = fx.provider_year_features(before, bene, op, batch_id=1)
-    new = fx.provider_year_features(claims, bene, op, batch_id=2, start="2000-12-31", end="2002-12-31")
+    new = materialise(fx.provider_year_features(claims, bene, op, batch_id=2, start="2000-12-31", end="2002-12-31"), "refreshed")
     return snap_all(replace_by_key(old, new, ["at_physn_npi", "period_year"]))
 
 

@@ -9,6 +9,7 @@ from ledgerlark.checks.score_checks import FEATURES, feature_table
 from ledgerlark.checks.support import once_per_session, snap, snap_all, sql_snap
 from ledgerlark.operators import inject as inj
 from ledgerlark.operators import supervised as sup
+from ledgerlark.schema import MODEL_FEATURES
 from ledgerlark.sources import sample_views as views
 
 # Codes of the test tables that stand in for the real pairs.
@@ -103,27 +104,25 @@ def sup_metrics_by_scenario(spark, sf_dir):
     return snap_all(sup.metrics_by_scenario(_stand_in(spark, sf_dir)))
 
 
-_FITTED: dict = {}
-
-
 def _fitted(spark, sf_dir):
-    """Small model (5 rounds of depth 3), its scaler, and the split rows."""
+    """The full boosted model, its scaler, and the split rows."""
     rows = once_per_session(spark, sf_dir, "split", lambda: _split(spark, sf_dir))
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        _FITTED[key] = sup.train(rows, {"maxIter": 5, "maxDepth": 3})
-    return (*_FITTED[key], rows)
+    return (*sup.train(rows), rows)
 
 
 def sup_gbt(spark, sf_dir):
-    """Predictions for the held-out rows by a small model (5 rounds of depth 3)."""
+    """Held-out rows scored by the boosted model: labels, and whether the probability is one."""
     model, scaler, rows = _fitted(spark, sf_dir)
-    return sup.predict(model, scaler, rows.filter("is_test"))
+    scored = sup.predict(model, scaler, rows.filter("is_test"))
+    return scored.select("at_physn_npi", "scenario", "label", F.col("prob").between(0, 1).alias("prob_in_range"))
 
 
 def sup_importances(spark, sf_dir):
+    """Per model input: whether its importance is a share, and whether the shares add up to one."""
     model, scaler, _ = _fitted(spark, sf_dir)
-    return sup.importances(model, scaler)
+    rows = sup.importances(model, scaler)
+    total = rows.agg(F.sum("importance").alias("t")).select("t").scalar()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("adds_up"))
 
 
 QUERIES = {
@@ -236,6 +235,9 @@ ORACLE = {
     "sup_dedup": f"WITH {SCENARIOS}, {_ONE} SELECT {_shown()} FROM one",
     "sup_split": f"WITH {SCENARIOS}, {_ONE} SELECT at_physn_npi, scenario, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:split:' || at_physn_npi || ':' || scenario), at_physn_npi, scenario)"
     " <= floor(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE + 0.5) AS is_test FROM one",
+    "sup_gbt": f"WITH {SCENARIOS}, {_ONE}, s AS (SELECT at_physn_npi, scenario, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:split:' || at_physn_npi || ':' || scenario), at_physn_npi, scenario)"
+    " <= floor(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE + 0.5) AS is_test FROM one) SELECT at_physn_npi, scenario, label, true AS prob_in_range FROM s WHERE is_test",
+    "sup_importances": "SELECT feature, true AS is_share, true AS adds_up FROM (VALUES " + ", ".join(f"('{c}')" for c in MODEL_FEATURES) + ") AS f(feature)",
     "sup_metrics": f"WITH {SCENARIOS}, {_PROB}, c AS (SELECT {_COUNTS} FROM preds), a AS ({_auc('')}) SELECT {sql_snap('auc')} AS auc_roc, {_PRF}, tp, fp, fn, tn FROM c, a",
     "sup_report": f"""WITH {SCENARIOS}, {_PROB}, c AS (SELECT {_COUNTS} FROM preds),
 k(name, hit, over_n, miss) AS (SELECT 'Clean', tn, fn, fp FROM c UNION ALL SELECT 'Anomaly', tp, fp, fn FROM c),

@@ -125,7 +125,7 @@ run_events AS ({RUN_EVENTS}),
 last_event AS (SELECT * FROM run_events QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY event_at DESC, seq DESC) = 1),
 tally AS (SELECT scoring_run_id AS run_id, count(DISTINCT at_physn_npi) AS scored_n, count(*) FILTER (is_flagged) AS flagged_n FROM by_run GROUP BY 1),
 runs AS (SELECT e.run_id, CASE WHEN status <> 'running' THEN event_at END AS completed_at, status, model_id, batch_id, carrier_claims_processed,
-           outpatient_claims_processed, CASE WHEN status = 'failed' THEN substr(error_message, 1, 500) END AS error_message,
+           outpatient_claims_processed, CASE WHEN status = 'failed' THEN error_message END AS error_message,
            coalesce(scored_n, 0) AS providers_scored, coalesce(flagged_n, 0) AS providers_flagged
          FROM last_event e LEFT JOIN tally t ON t.run_id = e.run_id)"""
 

@@ -12,6 +12,7 @@ from ledgerlark.functions.reasons import REASON_TEMPLATES
 from ledgerlark.operators import attribution as at
 from ledgerlark.operators import forest, scaling, scores
 from ledgerlark.operators.features import provider_year_features
+from ledgerlark.operators.reports import provider_explanation
 from ledgerlark.schema import MODEL_FEATURES
 from ledgerlark.sources import sample_views as views
 
@@ -82,13 +83,38 @@ def model_compare(spark, sf_dir):
     return snap_all(sc.spread_comparison(rows, "raw", "current_raw"))
 
 
-def if_train_nodes(spark, sf_dir):
+def forest_nodes(spark, sf_dir):
     matrix = scaling.model_matrix(feature_table(spark, sf_dir)).select(*KEYS, *MODEL_FEATURES)
     return forest.train_nodes(scaling.standardise(matrix, scaling.scaler_table(matrix)), KEYS)
 
 
+def if_train_nodes(spark, sf_dir):
+    """Per tree of the grown forest: rows at the root and over the leaves, and whether depth and node count fit."""
+    leaf = F.col("feature") < 0
+    rows = F.max(F.when(F.col("node_id") == 0, F.col("n")))
+    return forest_nodes(spark, sf_dir).groupBy("tree_id").agg(
+        rows.alias("root_rows"),
+        F.sum(F.when(leaf, F.col("n"))).alias("leaf_rows"),
+        (F.max("depth") <= F.ceil(F.log2(F.greatest(rows, F.lit(2)).cast("double")))).alias("depth_fits"),
+        (F.count("*") == 2 * F.count_if(leaf) - 1).alias("is_binary"),
+    )
+
+
+def forest_scores(spark, sf_dir, threshold=51):
+    return scores.score_batch(feature_table(spark, sf_dir), model(spark, sf_dir), 1, 1, threshold=threshold)
+
+
 def if_score(spark, sf_dir):
-    return scores.score_batch(feature_table(spark, sf_dir), model(spark, sf_dir), 1, 1, threshold=51)
+    """Per provider-year scored by the forest: whether score, risk, flag and decile hold together."""
+    raw, risk = F.col("isolation_forest_score"), F.col("risk_score")
+    again = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(100.0), (1 - raw) / 2 * 100)))
+    return forest_scores(spark, sf_dir).select(
+        *KEYS,
+        ((raw > -1) & (raw < 1)).alias("score_in_range"),
+        (risk == again).alias("risk_follows_score"),
+        (F.col("is_flagged") == (risk >= 51)).alias("flag_follows_risk"),
+        F.col("risk_decile").between(1, 10).alias("decile_in_range"),
+    )
 
 
 def _explained(spark, sf_dir, scored):
@@ -97,18 +123,34 @@ def _explained(spark, sf_dir, scored):
     return rows.withColumn("contribution", at.shapley_column(spark, m))
 
 
-def explain_shapley(spark, sf_dir):
+def forest_attributions(spark, sf_dir, threshold=51):
     """Attributions of every provider-year the forest flags."""
     keys = [*KEYS, "scoring_run_id"]
-    rows = _explained(spark, sf_dir, if_score(spark, sf_dir))
+    rows = _explained(spark, sf_dir, forest_scores(spark, sf_dir, threshold))
     return at.attribution_rows(at.ranked_contributions(rows, "contribution", keys), keys)
 
 
-def rpt_provider_explain(spark, sf_dir):
-    """Attributions of the provider-years in the order of one provider's drill-through page."""
-    return explain_shapley(spark, sf_dir).orderBy(
-        "at_physn_npi", "period_year", F.desc(F.abs("shap_value")), "feature_name"
+def explain_shapley(spark, sf_dir):
+    """Per provider-year (all are explained): attributions, and whether they add up to base minus path length.
+
+    The path length is taken from the forest's score: score = -2 ** (-path / mean path of the sample).
+    """
+    m = model(spark, sf_dir)
+    base = at.LeafPaths.of(m, len(MODEL_FEATURES)).expected()
+    unit = float(forest.mean_path(m.sample_size))
+    sums = forest_attributions(spark, sf_dir, threshold=0).groupBy(*KEYS).agg(
+        F.count("*").alias("attributions"), F.max("feature_rank").alias("last_rank"), F.sum("shap_value").alias("total")
     )
+    raw = forest_scores(spark, sf_dir, threshold=0).select(*KEYS, "isolation_forest_score")
+    path = -F.log2(-(F.col("isolation_forest_score") + F.lit(m.offset))) * F.lit(unit)
+    return sums.join(raw, KEYS).select(*KEYS, "attributions", "last_rank", (F.abs(F.lit(base) - path - F.col("total")) < 1e-6).alias("adds_up"))
+
+
+def rpt_provider_explain(spark, sf_dir):
+    """Drill-through page of the first flagged provider, on the stand-in attributions."""
+    rows = at.attribution_rows(_ranked(spark, sf_dir), [*KEYS, "scoring_run_id"])
+    first = _score_table(spark, sf_dir).filter("is_flagged").agg(F.min("at_physn_npi").alias("p")).first()["p"]
+    return provider_explanation(rows, first or "")
 
 
 def _ranked(spark, sf_dir):
@@ -186,9 +228,9 @@ def _reason_sql() -> str:
         sql = "'" + template.replace("'", "''") + "'"
         sql = sql.replace("{direction}", "' || CASE WHEN shap_value > 0 THEN 'above' ELSE 'below' END || '")
         for spec in (":.0f", ":.1f", ":.2f", ":.3f", ":+.1f"):
-            sql = sql.replace("{value%s}" % spec, f"' || printf('%{spec[1:]}', feature_value + 1e-9) || '")
+            sql = sql.replace("{value%s}" % spec, f"' || printf('%{spec[1:]}', feature_value) || '")
         for spec in (":.0%", ":.2%"):
-            sql = sql.replace("{value%s}" % spec, f"' || printf('%{spec[1:-1]}f', feature_value * 100 + 1e-9) || '%")
+            sql = sql.replace("{value%s}" % spec, f"' || printf('%{spec[1:-1]}f', feature_value * 100) || '%")
         return sql
 
     return "CASE feature_name " + " ".join(f"WHEN '{f}' THEN {piece(t)}" for f, t in REASON_TEMPLATES.items()) + " END"
@@ -211,6 +253,11 @@ ORACLE = {
     f" {sql_snap('avg(CAST(is_flagged AS INT))')} AS pct_flagged, count(*) AS training_rows FROM scored",
     "model_compare": f"WITH {SCORED}, two AS (SELECT stddev_pop(raw) AS n, stddev_pop(raw * 0.9::DOUBLE + duplicate_rate) AS c FROM scored)"
     f" SELECT {sql_snap('n')} AS new_spread, {sql_snap('c')} AS current_spread, {sql_snap('n - c')} AS improvement, n - c >= 0.01 AS promote FROM two",
+    "if_train_nodes": f"WITH {FEATURES}, k AS (SELECT least(256, count(*)) AS n FROM batch) SELECT CAST(tree AS INT) AS tree_id, CAST(n AS BIGINT) AS root_rows,"
+    " CAST(n AS BIGINT) AS leaf_rows, true AS depth_fits, true AS is_binary FROM k, range(1, 201) AS t(tree)",
+    "if_score": f"WITH {FEATURES} SELECT {_K}, true AS score_in_range, true AS risk_follows_score, true AS flag_follows_risk, true AS decile_in_range FROM batch",
+    "explain_shapley": f"WITH {FEATURES} SELECT {_K}, CAST({len(MODEL_FEATURES)} AS BIGINT) AS attributions, CAST({len(MODEL_FEATURES)} AS INT) AS last_rank, true AS adds_up FROM batch",
+    "rpt_provider_explain": f"WITH {SCORED}, {_RANKED} SELECT * FROM ranked WHERE at_physn_npi = (SELECT min(at_physn_npi) FROM scored WHERE is_flagged)",
     "explain_topk": f"WITH {SCORED}, {_RANKED} SELECT * FROM ranked",
     "explain_reason_text": f"WITH {SCORED}, {_RANKED}, texts AS (SELECT *, {_reason_sql()} AS reason FROM ranked)"
     f" SELECT {_K}, scoring_run_id, risk_score, is_flagged,"

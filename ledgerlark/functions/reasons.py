@@ -30,33 +30,66 @@ REASON_TEMPLATES = {
 }
 FALLBACK_TEMPLATE = "Feature '{feature}' value {value:.4f} ({direction} expected)"
 
-_FIELD = re.compile(r"\{(\w+)(?::([^}]*))?\}")
+_VALUE = re.compile(r"\{value:([^}]*)\}")
+_FIELD = re.compile(r"\{(\w+)\}")
 
-# Decimal halves round up whatever their binary form.
-_NUDGE = 1e-9
+_FRACTION_BITS = 62
+_MAX_DIGITS = 4
 
 
-def _number(value: Column, spec: str) -> Column:
-    scaled = value * 100 if spec.endswith("%") else value
-    text = F.format_string("%" + spec.rstrip("%f") + "f", scaled + F.lit(_NUDGE))
-    return F.concat(text, F.lit("%")) if spec.endswith("%") else text
+def _number(value: Column, digits: Column, percent: Column, plus: Column) -> Column:
+    """The value with so many decimals, rounded from its exact binary value, halves to the even digit.
 
+    All steps are exact: the fraction of a double times 2**62 is a whole number (for magnitudes from 2**-10; below
+    that only bits past the last place that could decide are lost), and the rest is integer arithmetic.
+    """
+    x = F.when(percent, value * 100).otherwise(value).cast("double")
+    size = F.abs(x)
+    whole = F.floor(size).cast("decimal(19,0)")
+    bits = ((size - F.floor(size)) * float(1 << _FRACTION_BITS)).cast("bigint").cast("decimal(19,0)")
+    power = F.element_at(F.array(*[F.lit(10**d) for d in range(_MAX_DIGITS + 1)]), digits + 1).cast("decimal(5,0)")
+    scaled = bits * power
+    unit = F.lit(1 << _FRACTION_BITS)
+    low = F.call_function("div", scaled, unit)
+    rest = scaled - low.cast("decimal(19,0)") * unit
+    half = F.lit(1 << (_FRACTION_BITS - 1))
+    total = whole * power + low
+    up = (rest > half) | ((rest == half) & (total % 2 == 1))
+    text = (total + F.when(up, 1).otherwise(0)).cast("decimal(38,0)").cast("string")
+    text = F.lpad(text, F.greatest(F.length(text), digits + 1), F.lit("0"))
+    point = F.length(text) - digits
+    text = F.concat(F.substring(text, F.lit(1), point), F.when(digits > 0, ".").otherwise(""), F.substring(text, point + 1, digits))
+    sign = F.when(x < 0, "-").otherwise(F.when(plus, "+").otherwise(""))
+    return F.concat(sign, text, F.when(percent, "%").otherwise(""))
 
-def _fill(template: str, feature: Column, contribution: Column, value: Column) -> Column:
-    fields = {"feature": feature, "direction": F.when(contribution > 0, "above").otherwise("below")}
-    parts, at = [], 0
-    for m in _FIELD.finditer(template):
-        parts.append(F.lit(template[at : m.start()]))
-        parts.append(_number(value, m.group(2)) if m.group(1) == "value" else fields[m.group(1)])
-        at = m.end()
-    parts.append(F.lit(template[at:]))
-    return F.concat(*parts)
+
+def _filled(text: str, feature: Column, direction: Column) -> Column:
+    """The text with its feature and direction fields filled in."""
+    parts = [F.lit(p) if i % 2 == 0 else {"feature": feature, "direction": direction}[p] for i, p in enumerate(_FIELD.split(text)) if p or i % 2]
+    return F.concat(*parts) if parts else F.lit("")
 
 
 def reason_text(feature: Column, contribution: Column, value: Column) -> Column:
-    """Text for one contribution; "above" or "below" is the sign of the contribution."""
-    out = None
-    for name, template in REASON_TEMPLATES.items():
-        text = _fill(template, feature, contribution, value)
-        out = F.when(feature == name, text) if out is None else out.when(feature == name, text)
-    return out.otherwise(_fill(FALLBACK_TEMPLATE, feature, contribution, value))
+    """Text for one contribution; "above" or "below" is the sign of the contribution.
+
+    A template is what stands before its value, the value's format, and what stands after it; the number is
+    formatted once, by the format its feature asks for.
+    """
+    direction = F.when(contribution > 0, "above").otherwise("below")
+
+    def choose(pick) -> Column:
+        out = None
+        for name, template in REASON_TEMPLATES.items():
+            out = F.when(feature == name, pick(template)) if out is None else out.when(feature == name, pick(template))
+        return out.otherwise(pick(FALLBACK_TEMPLATE))
+
+    spec = lambda t: _VALUE.search(t).group(1)
+    number = _number(
+        value,
+        choose(lambda t: F.lit(int(re.search(r"\d", spec(t)).group()))),
+        choose(lambda t: F.lit(spec(t).endswith("%"))),
+        choose(lambda t: F.lit(spec(t).startswith("+"))),
+    )
+    before = choose(lambda t: _filled(_VALUE.split(t)[0], feature, direction))
+    after = choose(lambda t: _filled(_VALUE.split(t)[2], feature, direction))
+    return F.concat(before, number, after)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.operators.scaling import model_matrix, scaler_table, standardise
+from ledgerlark.operators.scaling import model_matrix, scaler_rows, scaler_table, standardise
 from ledgerlark.schema import MODEL_FEATURES
 from ledgerlark.sources.tables import full_refresh
 
@@ -104,12 +104,14 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> pd.Dat
 def train_nodes(
     scaled: DataFrame, keys: list[str], trees: int = 200, sample_size: int = SAMPLE_SIZE, seed: int = 42
 ) -> DataFrame:
-    """Node table of the forest."""
-    depth = max(1, math.ceil(math.log2(max(sample_size, 2))))
+    """Node table of the forest.  A tree's depth is bounded by the size of its sample."""
+    if 2 * trees * sample_size > MAX_NODES:
+        raise ValueError(f"trees x 2 x sample_size exceeds {MAX_NODES} nodes; lower one of them")
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree_id"].iloc[0])
         group = group.sort_values("draw", kind="stable")
+        depth = max(1, math.ceil(math.log2(max(len(group), 2))))
         nodes = grow_tree(np.stack(group["x"].to_numpy()), np.random.default_rng([seed, tree]), depth)
         nodes.insert(0, "tree_id", tree)
         return nodes
@@ -138,15 +140,13 @@ class ForestModel:
 
     @classmethod
     def from_tables(cls, nodes: DataFrame, scaler: DataFrame, offset: float = 0.0, info: dict | None = None):
-        """Collect the node and scaler tables.  Their size is fixed by the model's parameters and checked."""
-        pdf = nodes.limit(MAX_NODES + 1).toPandas()
-        if len(pdf) > MAX_NODES:
-            raise ValueError(f"forest has more than {MAX_NODES} nodes; lower trees or sample_size")
+        """Collect the node and scaler tables.  Their size is fixed by the model's parameters, which training checks."""
+        pdf = nodes.toPandas()
         pdf = pdf.sort_values(["tree_id", "node_id"], kind="stable").reset_index(drop=True)
         is_root = pdf["node_id"].to_numpy() == 0
         roots = np.flatnonzero(is_root)
         base = roots[np.cumsum(is_root) - 1]
-        stats = {r["feature"]: r for r in scaler.limit(len(MODEL_FEATURES)).collect()}
+        stats = scaler_rows(scaler)
         return cls(
             roots=roots,
             feature=pdf["feature"].to_numpy(dtype=np.int64),

@@ -6,16 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ledgerlark.operators.ranking import first_per_key
+from ledgerlark.operators.ranking import first_per_key, join_null_safe
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Rows to append: the first incoming row per key whose key the target lacks."""
+    """Rows to append: the first incoming row per key whose key the target lacks.  A NULL in a key equals a NULL."""
     fresh = first_per_key(incoming, keys, order)
-    return fresh.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    return join_null_safe(fresh, target.select(*keys), keys, "left_anti").select(*incoming.columns)
 
 
 def replace_by_key(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target with every row whose key is in ``new`` replaced by the new rows."""
-    kept = target.join(new.select(*keys).distinct(), list(keys), "left_anti")
+    """The target with every row whose key is in ``new`` replaced by the new rows.
+
+    ``new`` is read twice: write it first when it is dear to compute.
+    """
+    kept = join_null_safe(target, new.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)

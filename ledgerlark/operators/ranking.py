@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 _BUCKET_DIGITS = 4  # hex digits of a hash used as bucket: at most 65,536 buckets per group
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, NULL being equal to NULL; the right side's keys are dropped."""
+    there = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in keys:
+        same = same & left[c].eqNullSafe(there[f"_r_{c}"])
+    return left.join(there, same, how).drop(*[f"_r_{c}" for c in keys])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``order``, remaining columns as final tie-break.
 
@@ -55,7 +64,7 @@ def mark_smallest(
         .select(*groups, "_bucket", (quota(F.sum("_n").over(whole)) - F.col("_before")).alias("_open"))
     )
     in_bucket = Window.partitionBy(*groups, "_bucket").orderBy(hash_col, *ties)
-    return tagged.join(buckets, [*groups, "_bucket"]).select(
+    return join_null_safe(tagged, buckets, [*groups, "_bucket"]).select(
         *df.columns, (F.row_number().over(in_bucket) <= F.col("_open")).alias(out)
     )
 
@@ -67,19 +76,22 @@ def smallest_by_hash(
     return mark_smallest(df, groups, hash_col, quota, ties, "_chosen").filter("_chosen").drop("_chosen")
 
 
-def auc_by_group(df: DataFrame, groups: Sequence[str], score: str, label: str, buckets: int = 4096) -> DataFrame:
+def auc_by_group(df: DataFrame, groups: Sequence[str], score: str, label: str, buckets: int = 256) -> DataFrame:
     """Area under the ROC curve per group, ties counted half; NULL when a class is missing.
 
     Rows collapse to one per distinct score.  Negatives below a score = negatives in lower score
     buckets (a prefix sum over at most ``buckets`` + 1 rows) + negatives below it in its own bucket.
-    Scores are expected in [0, 1]; others share the edge buckets and stay exact.
+    Bucket edges are quantiles of the group's distinct scores, so scores that pile up are spread too.
     """
     hist = (
         df.groupBy(*groups, F.col(score).alias("_s"))
         .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("_pos"), F.count("*").alias("_n"))
         .withColumn("_neg", F.col("_n") - F.col("_pos"))
-        .withColumn("_b", F.greatest(F.lit(0), F.least(F.lit(buckets), F.floor(F.col("_s") * buckets))))
     )
+    cuts = F.percentile_approx("_s", [i / buckets for i in range(1, buckets)], 10 * buckets)
+    edges = hist.groupBy(*groups).agg(cuts.alias("_edges"))
+    hist = join_null_safe(hist, edges, groups) if groups else hist.crossJoin(F.broadcast(edges))  # one row
+    hist = hist.withColumn("_b", F.size(F.filter("_edges", lambda e: e <= F.col("_s")))).drop("_edges")
     below_bucket = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hist.groupBy(*groups, "_b")
@@ -88,10 +100,7 @@ def auc_by_group(df: DataFrame, groups: Sequence[str], score: str, label: str, b
     )
     below = Window.partitionBy(*groups, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = hist.withColumn("_in", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
-    if groups:
-        ranked = ranked.join(offsets, [*groups, "_b"])
-    else:
-        ranked = ranked.join(offsets, "_b")
+    ranked = join_null_safe(ranked, offsets, [*groups, "_b"])
     wins = F.col("_pos").cast("double") * (F.col("_off") + F.col("_in") + F.col("_neg") / 2)
     pairs = F.sum("_pos").cast("double") * F.sum("_neg")
     return ranked.groupBy(*groups).agg(F.when(pairs > 0, F.sum(wins) / pairs).alias("auc_roc"))

@@ -74,7 +74,7 @@ def run_state(events: DataFrame) -> DataFrame:
         "run_id",
         F.when(done, F.col("_e.event_at")).alias("completed_at"),
         *[F.col(f"_e.{c}").alias(c) for c in rest if c != "error_message"],
-        F.when(F.col("_e.status") == "failed", F.substring("_e.error_message", 1, 500)).alias("error_message"),
+        F.when(F.col("_e.status") == "failed", F.col("_e.error_message")).alias("error_message"),
     )
 
 

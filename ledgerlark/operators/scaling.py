@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgerlark.schema import MODEL_FEATURES
@@ -32,7 +32,15 @@ def scaler_table(matrix: DataFrame, columns: Sequence[str] = MODEL_FEATURES) ->
     )
 
 
+def scaler_rows(scaler: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> dict[str, Row]:
+    """The scaler's row of each model column; a missing one is an error."""
+    rows = {r["feature"]: r for r in scaler.filter(F.col("feature").isin(*columns)).collect()}
+    if missing := [c for c in columns if c not in rows]:
+        raise ValueError(f"scaler lacks {', '.join(missing)}")
+    return rows
+
+
 def standardise(matrix: DataFrame, scaler: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Columns as (x - mean) / scale.  The scaler is one row per model column, read as constants."""
-    rows = {r["feature"]: r for r in scaler.limit(len(columns)).collect()}
+    rows = scaler_rows(scaler, columns)
     return matrix.withColumns({c: (F.col(c) - float(rows[c]["mean"])) / float(rows[c]["scale"]) for c in columns})

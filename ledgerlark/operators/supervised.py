@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.features import PROVIDER
 from ledgerlark.operators.inject import keyed_hash
-from ledgerlark.operators.ranking import auc_by_group, first_per_key, mark_smallest
+from ledgerlark.operators.ranking import auc_by_group, first_per_key, join_null_safe, mark_smallest
 from ledgerlark.operators.scaling import model_matrix, scaler_table, standardise
 from ledgerlark.schema import MODEL_FEATURES
-from ledgerlark.session import ensure_checkpoint_dir
+from ledgerlark.session import ensure_checkpoint_dir, materialise
 
 # Parameters of the boosted classifier.
 BOOSTING = {
@@ -61,7 +61,7 @@ def train(
     """Boosted trees on the rows not held out.  Returns the model and the scaler of the training rows."""
     ensure_checkpoint_dir(rows.sparkSession)
     matrix = model_matrix(rows.filter(~F.col("is_test")))
-    scaler = scaler_table(matrix).cache()
+    scaler = materialise(scaler_table(matrix), "scaler")
     data = _vectors(standardise(matrix, scaler)).withColumn(
         "weight", F.when(F.col("label") == 1, positive_weight).otherwise(1.0)
     )
@@ -139,7 +139,7 @@ def metrics_by_scenario(predictions: DataFrame, cut: float = 0.5) -> DataFrame:
         }
     )
     auc = auc_by_group(predictions, ["scenario"], "prob", "label")
-    return base.join(auc, "scenario", "left").select(
+    return join_null_safe(base, auc, ["scenario"], "left").select(
         "scenario", "test_rows", "anomalies", "precision", "recall", "f1", "auc_roc"
     )
 

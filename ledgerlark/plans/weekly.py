@@ -69,7 +69,7 @@ def run_weekly(
         tables.append(with_reasons, wh.path("provider_risk_scores"), ["scoring_run_id"])
         wh.add_state("positions", POSITIONS, ("carrier", window["batch_end"], batch_id))
     except Exception as exc:
-        event(1, "failed", error=str(exc)[:500])
+        event(1, "failed", error=str(exc))
         raise
     event(1, "success", model_id, int(window["claims"]))
     return {"run_id": run_id, "batch_id": batch_id, "claims": int(window["claims"]), "position": end}

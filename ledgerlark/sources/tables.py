@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.operators.merge import insert_if_absent, replace_by_key
@@ -60,7 +59,7 @@ def replace_rows(df: DataFrame, path: str, keys: Sequence[str], partition_by: st
     spark = df.sparkSession
     staged = materialise(df, "replace-new")
     target = read_or_empty(spark, path, df.schema)
-    touched = target.join(F.broadcast(staged.select(partition_by).distinct()), partition_by, "left_semi")
+    touched = target.join(staged.select(partition_by).distinct(), partition_by, "left_semi")
     merged = materialise(replace_by_key(touched, staged, keys), "replace-merged")
     (
         merged.write.mode("overwrite")

@@ -143,7 +143,7 @@ def test_ranked_rows_and_reasons(spark, features):
     assert all(reasons[f"top_reason_{i}"] for i in (1, 2, 3))
 
 
-@pytest.mark.parametrize("value", [0.0, 3.14159, 12.3456, 0.98765])
+@pytest.mark.parametrize("value", [0.0, 3.14159, 12.3456, 0.98765, 0.125, 0.625, 0.005, 2.25, -2.25, 2.675, 0.5, 1.5, -0.04, 1234567.5])
 def test_reason_texts_equal_python_formatting(spark, value):
     df = spark.createDataFrame([(f, 1.0, value) for f in [*REASON_TEMPLATES, "other"]], "f string, c double, v double")
     for r in df.select("f", reason_text(F.col("f"), F.col("c"), F.col("v")).alias("t")).collect():
