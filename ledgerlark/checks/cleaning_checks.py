@@ -185,17 +185,21 @@ def clean_dates(spark, sf_dir):
     )
 
 
+BENE_AMOUNTS = [f"{kind}_{place}" for place in ("ip", "op", "car") for kind in ("medreimb", "benres", "pppymt")]
+BENE_SMALL = [
+    "bene_hi_cvrage_tot_mons", "bene_smi_cvrage_tot_mons", "bene_hmo_cvrage_tot_mons", "plan_cvrg_mos_num", "sp_alzhdmta", "sp_chf",
+    "sp_chrnkidn", "sp_cncr", "sp_copd", "sp_depressn", "sp_diabetes", "sp_ischmcht", "sp_osteoprs", "sp_ra_oa", "sp_strketia",
+]
+
+
 def clean_numeric(spark, sf_dir):
     bene = views.raw_beneficiary(spark, sf_dir)
     return snap_all(
         bene.select(
             "desynpuf_id",
             "year",
-            *[cl.double_from_text(F.col(c)).alias(c) for c in ("medreimb_ip", "benres_op", "pppymt_car")],
-            *[
-                cl.small_int_from_text(F.col(c)).alias(c)
-                for c in ("bene_smi_cvrage_tot_mons", "bene_hmo_cvrage_tot_mons", "sp_copd", "sp_strketia")
-            ],
+            *[cl.double_from_text(F.col(c)).alias(c) for c in BENE_AMOUNTS],
+            *[cl.small_int_from_text(F.col(c)).alias(c) for c in BENE_SMALL],
         )
     )
 
@@ -259,7 +263,8 @@ def bene_chronic_count(spark, sf_dir):
 
 
 def bene_clean(spark, sf_dir):
-    return snap_all(cleanse.clean_beneficiaries(views.raw_beneficiary(spark, sf_dir)))
+    rows = views.raw_beneficiary(spark, sf_dir)
+    return snap_all(cleanse.clean_beneficiaries(rows.unionByName(rows)))  # repeated keys
 
 
 def _flat(df):
@@ -267,12 +272,24 @@ def _flat(df):
     return snap_all(df.select(*[F.array_join(c, ",").alias(c) if c in arrays else F.col(c) for c in df.columns]))
 
 
+#: Stand-ins for two code columns that the sample claims lack; the same text runs in both engines.
+PLACE = "CASE length(clm_id) % 3 WHEN 0 THEN ' 11 ' WHEN 1 THEN 'nan' END"
+CLAIM_TYPE = "CASE length(clm_id) % 2 WHEN 0 THEN '71' ELSE '72' END"
+
+
+def _two_samples(rows):
+    """Every row delivered in both samples, the later one first: one of them has to go."""
+    return rows.withColumn("sample_id", F.lit("2")).unionByName(rows.withColumn("sample_id", F.lit("1")))
+
+
 def claim_clean(spark, sf_dir):
-    return _flat(cleanse.clean_carrier(views.wide_claims(spark, sf_dir)).drop("place_of_service_cd", "nch_clm_type_cd", "sample_id"))
+    place, kind = (F.expr(e) for e in (PLACE, CLAIM_TYPE))
+    wide = views.wide_claims(spark, sf_dir).withColumns({"line_place_of_srvc_cd": place, "nch_clm_type_cd": kind})
+    return _flat(cleanse.clean_carrier(_two_samples(wide)))
 
 
 def outpatient_clean(spark, sf_dir):
-    return _flat(cleanse.clean_outpatient(views.raw_outpatient(spark, sf_dir)).drop("sample_id"))
+    return _flat(cleanse.clean_outpatient(_two_samples(views.raw_outpatient(spark, sf_dir))))
 
 
 _DEDUP_ORDER = (
@@ -455,11 +472,11 @@ ORACLE = {
     " bool_and(severity <> 'error') AS passed FROM findings GROUP BY ALL",
     "clean_dates": f"WITH {_WIDE} SELECT clm_id, desynpuf_id, CAST({_date('clm_from_dt')} AS VARCHAR) AS from_day, CAST({_date('clm_thru_dt')} AS VARCHAR) AS thru_day FROM wide",
     "clean_numeric": f"WITH {_RB} SELECT desynpuf_id, year, "
-    + ", ".join(f"{sql_snap(_num(c))} AS {c}" for c in ("medreimb_ip", "benres_op", "pppymt_car"))
+    + ", ".join(f"{sql_snap(_num(c))} AS {c}" for c in BENE_AMOUNTS)
     + ", "
     + ", ".join(
         f"CAST({_small(c)} AS INT) AS {c}"
-        for c in ("bene_smi_cvrage_tot_mons", "bene_hmo_cvrage_tot_mons", "sp_copd", "sp_strketia")
+        for c in BENE_SMALL
     )
     + " FROM raw_bene",
     "clean_codes": f"WITH {_WIDE}, {_OP} SELECT 'carrier' AS source, clm_id, {_code('icd9_dgns_cd_1')} AS prncpal_dgns_cd, CAST(NULL AS VARCHAR) AS prvdr_num FROM wide"
@@ -473,16 +490,19 @@ ORACLE = {
     "bene_chronic_count": f"WITH {_RB} SELECT {_code('desynpuf_id')} AS desynpuf_id, year, CAST({_FLAG_COUNT} AS INT) AS chronic_condition_count FROM raw_bene WHERE desynpuf_id IS NOT NULL",
     "bene_clean": f"WITH {_RB} SELECT {_bene_select()} FROM raw_bene WHERE desynpuf_id IS NOT NULL",
     "claim_clean": f"""WITH {_WIDE}, typed AS (SELECT trim(clm_id) AS clm_id, desynpuf_id, {_NPI} AS at_physn_npi, {_date('clm_from_dt')} AS d, {_date('clm_thru_dt')} AS t,
-  {_PAID} AS paid, {_ALLOWED} AS allowed, {_distinct_join(LINE_CODE)} AS hcpcs_codes, {_array(LINE_CODE)}[1] AS primary_hcpcs_cd, {_code('icd9_dgns_cd_1')} AS prncpal_dgns_cd FROM wide)
+  {_PAID} AS paid, {_ALLOWED} AS allowed, {_distinct_join(LINE_CODE)} AS hcpcs_codes, {_array(LINE_CODE)}[1] AS primary_hcpcs_cd, {_code('icd9_dgns_cd_1')} AS prncpal_dgns_cd,
+  {_code(PLACE)} AS place_of_service_cd, {_code(CLAIM_TYPE)} AS nch_clm_type_cd, CAST(s AS INT) AS sample_id
+  FROM wide, range(1, 3) AS r(s) WHERE clm_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY trim(clm_id) ORDER BY s) = 1)
 SELECT clm_id, desynpuf_id, at_physn_npi, CAST(d AS VARCHAR) AS clm_from_dt, CAST(t AS VARCHAR) AS clm_thru_dt, CAST(year(d) AS INT) AS claim_year,
   {sql_snap('paid')} AS clm_pmt_amt, {sql_snap('allowed')} AS submitted_charge_amt, {sql_snap('allowed')} AS allowed_amt,
-  {sql_snap(_RATIO)} AS submitted_to_allowed_ratio, prncpal_dgns_cd, primary_hcpcs_cd, hcpcs_codes, isodow(d) > 5 AS is_weekend_claim
+  {sql_snap(_RATIO)} AS submitted_to_allowed_ratio, place_of_service_cd, nch_clm_type_cd, sample_id, prncpal_dgns_cd, primary_hcpcs_cd, hcpcs_codes, isodow(d) > 5 AS is_weekend_claim
 FROM typed WHERE clm_id IS NOT NULL AND at_physn_npi IS NOT NULL AND d IS NOT NULL""",
-    "outpatient_clean": f"""WITH {_OP}, typed AS (SELECT *, {_date('clm_from_dt')} AS d FROM raw_op)
+    "outpatient_clean": f"""WITH {_OP}, typed AS (SELECT *, CAST(s AS INT) AS sample_id, {_date('clm_from_dt')} AS d FROM raw_op, range(1, 3) AS r(s)
+  WHERE clm_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY trim(clm_id) ORDER BY s) = 1)
 SELECT trim(clm_id) AS clm_id, desynpuf_id, {_code('prvdr_num')} AS prvdr_num, {_code('at_physn_npi')} AS at_physn_npi, CAST(d AS VARCHAR) AS clm_from_dt,
   CAST({_date('clm_thru_dt')} AS VARCHAR) AS clm_thru_dt, CAST(year(d) AS INT) AS claim_year, {sql_snap(_num('clm_pmt_amt'))} AS clm_pmt_amt,
   {_code('clm_fac_type_cd')} AS clm_fac_type_cd, {_code('icd9_dgns_cd_1')} AS prncpal_dgns_cd, {_distinct_join(OUTPATIENT_CODE)} AS hcpcs_codes,
-  {_distinct_join(OUTPATIENT_REVENUE)} AS revenue_codes, isodow(d) > 5 AS is_weekend_claim
+  {_distinct_join(OUTPATIENT_REVENUE)} AS revenue_codes, sample_id, isodow(d) > 5 AS is_weekend_claim
 FROM typed WHERE clm_id IS NOT NULL AND d IS NOT NULL""",
     "claim_dedup": f"WITH {CLAIMS} SELECT {_DEDUP_COLS} FROM claims QUALIFY row_number() OVER (PARTITION BY clm_id ORDER BY {_ORDER_SQL}) = 1",
     "merge_insert_ignore": f"WITH {CLAIMS}, late AS (SELECT * FROM claims WHERE clm_from_dt >= DATE '1998-01-01' QUALIFY row_number() OVER (PARTITION BY clm_id ORDER BY {_ORDER_SQL}) = 1)"

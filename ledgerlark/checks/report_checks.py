@@ -75,8 +75,11 @@ def rpt_decile_hist(spark, sf_dir):
 
 
 def rpt_ranking(spark, sf_dir):
-    """Ranking page under its filters: upper deciles."""
-    return snap_all(rp.filter_scores(_score_table(spark, sf_dir), deciles=(6, 10)).select(*rp.SCORE_FIELDS))
+    """Ranking page with its reasons, under all three filters: flagged, upper deciles, one year."""
+    keys = ["at_physn_npi", "period_year", "scoring_run_id"]
+    rows = at.attach_reasons(_score_table(spark, sf_dir), at.top_reasons(_ranked(spark, sf_dir), keys), keys)
+    kept = rp.filter_scores(rows, flagged=True, deciles=(6, 10), year=1996)
+    return snap_all(kept.select(*rp.SCORE_FIELDS, "top_reason_1", "top_reason_2", "top_reason_3"))
 
 
 def rpt_top_flagged(spark, sf_dir):
@@ -124,10 +127,11 @@ _RUNS = f"""{SCORED}, {SCORE_TABLE}, by_run AS (SELECT * REPLACE (period_year -
 run_events AS ({RUN_EVENTS}),
 last_event AS (SELECT * FROM run_events QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY event_at DESC, seq DESC) = 1),
 tally AS (SELECT scoring_run_id AS run_id, count(DISTINCT at_physn_npi) AS scored_n, count(*) FILTER (is_flagged) AS flagged_n FROM by_run GROUP BY 1),
-runs AS (SELECT e.run_id, CASE WHEN status <> 'running' THEN event_at END AS completed_at, status, model_id, batch_id, carrier_claims_processed,
+begun AS (SELECT run_id, min(event_at) AS started_at FROM run_events GROUP BY run_id),
+runs AS (SELECT e.run_id, started_at, CASE WHEN status <> 'running' THEN event_at END AS completed_at, status, model_id, batch_id, carrier_claims_processed,
            outpatient_claims_processed, CASE WHEN status = 'failed' THEN error_message END AS error_message,
            coalesce(scored_n, 0) AS providers_scored, coalesce(flagged_n, 0) AS providers_flagged
-         FROM last_event e LEFT JOIN tally t ON t.run_id = e.run_id)"""
+         FROM last_event e JOIN begun USING (run_id) LEFT JOIN tally t ON t.run_id = e.run_id)"""
 
 _SCORE_COLS = ", ".join(rp.SCORE_FIELDS)
 
@@ -135,7 +139,7 @@ ORACLE = {
     "reg_promote": f"WITH {_REGISTRY} SELECT {_REG_COLS}, model_path FROM registry",
     "reg_active": f"WITH {_REGISTRY} SELECT model_type, model_id, model_version, model_path FROM registry WHERE is_active",
     "reg_versions": f"WITH {_REGISTRY} SELECT {_REG_COLS} FROM registry",
-    "rpt_run_log": f"WITH {_RUNS} SELECT * REPLACE (CAST(completed_at AS VARCHAR) AS completed_at) FROM runs",
+    "rpt_run_log": f"WITH {_RUNS} SELECT * REPLACE (CAST(started_at AS VARCHAR) AS started_at, CAST(completed_at AS VARCHAR) AS completed_at) FROM runs",
     "rpt_overview": f"""WITH {_RUNS}, {_REGISTRY}
 SELECT run_id, CAST(completed_at AS VARCHAR) AS run_date, coalesce(carrier_claims_processed, 0) + coalesce(outpatient_claims_processed, 0) AS total_claims_processed,
   providers_scored, providers_flagged, coalesce((SELECT {sql_snap('round(sum(CASE WHEN is_flagged THEN CAST(avg_submitted_to_allowed_ratio AS DECIMAL(12,4)) * 1000 ELSE 0 END), 2)')}
@@ -145,7 +149,13 @@ FROM runs r LEFT JOIN models m ON m.model_id = r.model_id WHERE status = 'succes
     "rpt_trends": f"WITH {_RUNS} SELECT CAST(CAST(completed_at AS DATE) AS VARCHAR) AS run_day, CAST(sum(carrier_claims_processed) AS BIGINT) AS claims_processed,"
     " CAST(sum(providers_flagged) AS BIGINT) AS providers_flagged, count(*) AS runs FROM runs WHERE completed_at >= TIMESTAMP '2024-01-05' GROUP BY CAST(completed_at AS DATE)",
     "rpt_decile_hist": f"WITH {SCORED} SELECT risk_decile, count(*) AS providers FROM scored GROUP BY 1",
-    "rpt_ranking": f"WITH {SCORED}, {SCORE_TABLE} SELECT {_SCORE_COLS} FROM score_table WHERE risk_decile BETWEEN 6 AND 10",
+    "rpt_ranking": f"WITH {SCORED}, {SCORE_TABLE}, {_RANKED}, texts AS (SELECT *, {_reason_sql()} AS reason FROM ranked)"
+    f" SELECT {_SCORE_COLS},"
+    + ", ".join(
+        f" (SELECT max(reason) FROM texts t WHERE t.at_physn_npi = s.at_physn_npi AND t.period_year = s.period_year AND feature_rank = {i}) AS top_reason_{i}"
+        for i in (1, 2, 3)
+    )
+    + " FROM score_table s WHERE is_flagged AND risk_decile BETWEEN 6 AND 10 AND period_year = 1996",
     "rpt_top_flagged": f"WITH {SCORED}, {SCORE_TABLE}, {_RANKED}, texts AS (SELECT *, {_reason_sql()} AS reason FROM ranked)"
     f" SELECT {_SCORE_COLS},"
     + ", ".join(

@@ -65,13 +65,14 @@ def model_versions(registry: DataFrame, model_type: str | None = None) -> DataFr
 
 
 def run_state(events: DataFrame) -> DataFrame:
-    """Last event per run.  events: run_id, event_at, seq, status, model_id, batch_id,
+    """Start and last event per run.  events: run_id, event_at, seq, status, model_id, batch_id,
     carrier_claims_processed, outpatient_claims_processed, error_message."""
     rest = [c for c in events.columns if c not in ("run_id", "event_at", "seq")]
-    last = events.groupBy("run_id").agg(F.max(F.struct("event_at", "seq", *rest)).alias("_e"))
+    last = events.groupBy("run_id").agg(F.min("event_at").alias("started_at"), F.max(F.struct("event_at", "seq", *rest)).alias("_e"))
     done = F.col("_e.status") != "running"
     return last.select(
         "run_id",
+        "started_at",
         F.when(done, F.col("_e.event_at")).alias("completed_at"),
         *[F.col(f"_e.{c}").alias(c) for c in rest if c != "error_message"],
         F.when(F.col("_e.status") == "failed", F.col("_e.error_message")).alias("error_message"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlark.operators.features import PROVIDER, keep_providers, provider_year_features
+from ledgerlark.operators.ranking import first_per_key
 from ledgerlark.session import materialise
 from ledgerlark.sources.tables import replace_rows
 
@@ -34,6 +35,7 @@ def refresh_from_files(
         active = materialise(batch.select(PROVIDER).dropna().distinct(), "active-providers")
         history = spark.read.schema(schema).parquet(claims_path)
         own = keep_providers(history, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
+        own = first_per_key(own, ["clm_id"], ("clm_from_dt", "desynpuf_id", PROVIDER))  # a claim may be delivered again
         own_outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
         rows = provider_year_features(own, bene, own_outpatient, batch_id=batch_id + 1)
         replace_rows(rows, feature_path, KEYS, "period_year")

@@ -116,3 +116,26 @@ def test_merge_operators(spark):
     new = spark.createDataFrame([(2, "b"), (2, "a"), (3, "c")], "k int, v string")
     assert sorted(map(tuple, insert_if_absent(target, new, ["k"], ["v"]).collect())) == [(3, "c")]
     assert sorted(map(tuple, replace_by_key(target, new, ["k"]).collect())) == [(1, "old"), (2, "a"), (2, "b"), (3, "c")]
+
+
+def test_null_groups_are_kept(spark):
+    rows = [(None, f"{i:08x}") for i in range(10)] + [(1, f"{i:08x}") for i in range(5)]
+    df = spark.createDataFrame(rows, "g int, h string")
+    marked = mark_smallest(df, ["g"], "h", lambda n: F.floor(n / 5)).collect()
+    assert len(marked) == 15 and sum(r.is_chosen for r in marked if r.g is None) == 2 and sum(r.is_chosen for r in marked if r.g == 1) == 1
+
+
+def test_auc_of_null_group_and_crowded_scores(spark):
+    rows = [(None, 0.5 + i * 1e-7, int(i % 3 == 0)) for i in range(900)] + [("a", 0.2, 1), ("a", 0.1, 0)]
+    df = spark.createDataFrame(rows, "g string, s double, y int")
+    got = {r.g: r.auc_roc for r in auc_by_group(df, ["g"], "s", "y").collect()}
+    own = [(s, y) for g, s, y in rows if g is None]
+    pos, neg = [s for s, y in own if y], [s for s, y in own if not y]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert abs(got[None] - want) < 1e-12 and got["a"] == 1.0
+
+
+def test_null_keys_are_inserted_once(spark):
+    target = spark.createDataFrame([(None, 1), (2, 2)], "k int, v int")
+    incoming = spark.createDataFrame([(None, 5), (2, 6), (3, 7)], "k int, v int")
+    assert [tuple(r) for r in insert_if_absent(target, incoming, ["k"], ["v"]).collect()] == [(3, 7)]
