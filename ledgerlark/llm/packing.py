@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from ledgerlark.llm.common import Scratch
 
@@ -27,8 +28,8 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 CELL_ROWS = 500
-CACHE_ENTRIES = 400_000
-GROUP_CHARS = 1_000_000
+CACHE_ENTRIES = 700_000
+GROUP_CHARS = 500_000
 #: The vocabulary's own word pattern; words never hold white space, so texts may be cut there.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Text of these characters is lower-cased and composed one character at a time, here as in the tokenizer.
@@ -36,58 +37,78 @@ PLAIN = regex.compile("[\x20-\x7e\xa0-įı-ɏ]*")
 
 
 class WordTokens:
-    """Token ids of texts as bytes (little-endian unsigned 32 bits), with bounded caches of words and of runs
-    between blanks.  Equal to encoding the whole text: the vocabulary's words never cross white space.
+    """Token ids of texts as bytes (little-endian unsigned 32 bits), from a bounded cache of runs between blanks and
+    of the words in them.  Equal to encoding the whole text: the vocabulary's words never cross white space.
 
-    Runs with other characters, or with a control string, go through the tokenizer as they are.
+    Runs with other characters, or with a control string, go through the tokenizer as they are.  A full cache
+    becomes the old generation, from which what is still used moves on.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)  # for words that are cut out and normalised already
+        self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
-        self.runs: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    @staticmethod
+    def _encode(tokenizer: Tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _learn(self, runs: set[str]) -> None:
-        cut = {}
+        known, old = self.known, self.old
+        parts, words = {}, []
         for run in runs:
-            if "<|" in run or PLAIN.fullmatch(run) is None:
-                self.runs[run] = self._encode(run).tobytes()
+            if (ids := old.get(run)) is not None:
+                known[run] = ids
+            elif not run.isascii() and PLAIN.fullmatch(run) is None or "<|" in run:
+                known[run] = self._encode(self.tokenizer, run).tobytes()
+            elif run.isalpha() and run.islower():  # most runs: one word, perhaps with a mark after it
+                words.append(run)
+            elif run[-1:] in (",", ".") and run[:-1].isalpha():
+                parts[run] = (run[:-1].lower(), run[-1])
             else:
-                cut[run] = WORD.findall(run.lower())
-        new = list({w for ws in cut.values() for w in ws} - self.words.keys())
-        if new:
-            ids = self._encode(" ".join(new))
+                parts[run] = WORD.findall(run.lower())
+        seen = set(words)
+        for ws in parts.values():
+            for w in ws:
+                if w not in known and w not in seen:
+                    if (ids := old.get(w)) is not None:
+                        known[w] = ids
+                    else:
+                        seen.add(w)
+                        words.append(w)
+        if words:
+            ids = self._encode(self.plain, " ".join(words))
             stops = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(stops) == len(new):
+            if len(stops) == len(words):
                 raw, at = ids.tobytes(), 0
-                for w, stop in zip(new, (stops * 4).tolist(), strict=True):
-                    self.words[w] = raw[at:stop]
+                for w, stop in zip(words, (stops * 4).tolist(), strict=True):
+                    known[w] = raw[at:stop]
                     at = stop
             else:  # a word without a word-end token: one at a time
-                for w in new:
-                    self.words[w] = self._encode(w).tobytes()
-        words = self.words
-        for run, ws in cut.items():
-            self.runs[run] = b"".join([words[w] for w in ws])
+                for w in words:
+                    known[w] = self._encode(self.tokenizer, w).tobytes()
+        for run, ws in parts.items():
+            known[run] = b"".join([known[w] for w in ws])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """A group of texts; a cache that has grown too large starts afresh between groups."""
-        if len(self.runs) > CACHE_ENTRIES:
-            self.runs = {}
-        if len(self.words) > CACHE_ENTRIES:
-            self.words = {}
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*cut) - self.runs.keys()
-        if new:
-            self._learn(new)
-        runs = self.runs
-        return [b"".join([runs[r] for r in c]) for c in cut]
+        """Ids of a group of texts."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.known, self.old = {}, self.known
+        low = [t.lower() if "<|" not in t and (t.isascii() or PLAIN.fullmatch(t)) else t for t in texts]
+        cut = [t.replace("\n", " ").split(" ") for t in low]
+        get = self.known.get
+        found = [list(map(get, c)) for c in cut]
+        gaps = [i for i, f in enumerate(found) if None in f]
+        if gaps:
+            self._learn({r for i in gaps for r, x in zip(cut[i], found[i], strict=True) if x is None})
+            for i in gaps:
+                found[i] = [x if x is not None else get(r) for r, x in zip(cut[i], found[i], strict=True)]
+        return [b"".join(f) for f in found]
 
 
 @lru_cache(maxsize=1)
