@@ -14,14 +14,17 @@ from ledgerlark.llm.common import Scratch, read_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the adaptive rules keep."""
-    return quality_rules.apply_rules(docs, docs.columns).where("kept").select(*docs.columns)
+    """Documents that the adaptive rules keep.  Rows travel as one column, so no column name can clash."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *[c for c in ("text", "lang", "source") if c in docs.columns])
+    return quality_rules.apply_rules(rows, ["_row"]).where("kept").select("_row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that stand in ten documents or more; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1)
-    if "n_chars" in docs.columns:
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    out = line_dedup.dedup_lines(docs.select("doc_id", "text", *([F.struct(*rest).alias("_row")] if rest else [])), min_docs=10, min_chars=1)
+    out = out.select("doc_id", "text", *(["_row.*"] if rest else []))
+    if "n_chars" in rest:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 

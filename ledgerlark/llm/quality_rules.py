@@ -18,7 +18,7 @@ from ledgerlark.llm.common import WS, Scratch, word_array
 MIN_GROUP = 50
 SPREAD = 6
 #: Rule name, slack in units of the sketch (thousandths; hundredths for word_len).
-UPPER = {"symbols": 60, "dup_lines": 300, "repeats": 200, "word_len": 600}
+UPPER = {"symbols": 60, "dup_lines": 500, "repeats": 400, "word_len": 600}
 LOWER = {"word_len": 200}
 BROADCAST_GROUPS = 50_000
 #: Sketch buckets beyond this value are one.

@@ -83,6 +83,23 @@ def test_stages_and_packing(spark, table):
     assert len(bins) <= -(-sum(want.values()) // 2048) + 1
 
 
+def test_clashing_columns_and_empty_table(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame(
+        [(i, f"{text} {i}" if i else None, None, "s", 1, "mine", 7, 8, 9) for i in range(3)],
+        "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words int, n_lines int, node int",
+    )
+    bench = "/root/testdata/sf0.001"
+    for rows in (docs, docs.where("false")):
+        now = rows
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            now = stage(spark, now, bench)
+            assert now.columns == docs.columns
+        assert {(r["kept"], r["n_words"], r["n_lines"], r["node"]) for r in now.collect()} <= {("mine", 7, 8, 9)}
+        assert corpus_pipeline.STAGES[4][1](spark, now, bench).count() == now.count()
+    assert now.count() == 0
+
+
 def test_oracle_is_left_out():
     assert corpus_pipeline.ORACLE_SQL is None and [s[0] for s in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "jaccard_join", "decontamination", "packing",
