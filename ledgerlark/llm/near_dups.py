@@ -47,7 +47,10 @@ def similar(inter: int, a: int, b: int) -> bool:
 
 def _node(s: np.ndarray) -> np.uint64:
     """64-bit identity of a set."""
-    return mix(np.bitwise_xor.reduce(mix(s)) + np.sum(s, dtype=_U) * _U(3) + _U(len(s)))[()] if len(s) else _U(0)
+    if not len(s):
+        return _U(0)
+    folded = np.bitwise_xor.reduce(mix(s), keepdims=True) + np.sum(s, dtype=_U, keepdims=True) * _U(3)
+    return mix(folded + _U(len(s)))[0]
 
 
 def band_of(n: int) -> int:
@@ -64,13 +67,13 @@ def blocks(s: np.ndarray, band: int, d: int) -> tuple[np.ndarray, int]:
     if band == 0:
         keys, counts = s, None
     else:
-        k = (6 * (2 * _band_top(band) // 9 + 1)) // 5 + 16
+        k = (17 * (2 * _band_top(band) // 9 + 1)) // 10 + 16
         at = ((s >> _U(32)) * _U(k)) >> _U(32)  # rises with s, and s is sorted
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         counts = np.diff(np.append(first, n))
         keys = np.bitwise_xor.reduceat(mix(s), first) + at[first]
     keys = mix(keys + _U((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-    p = min(len(keys), d + max(2, -(-d // 8)))
+    p = len(keys) if band == 0 else min(len(keys), d + max(2, d // 2))
     order = np.argsort(keys) if counts is None else np.lexsort((keys, -counts))
     return keys[order[:p]], max(1, p - d)
 
@@ -211,19 +214,22 @@ def _links(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.select(*by, "node", "comp", "probe", "shingles").groupBy(*by).applyInArrow(_verify, "a long, b long")
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
+def _candidates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): every block's members linked to its smallest member."""
     key = Window.partitionBy("key")
-    shared = (
-        docs.select("text").mapInArrow(_elements, "key long, node long, need int")
-        .withColumns({"n": F.count("*").over(key), "low": F.min("node").over(key), "high": F.max("node").over(key)})
-        .where(F.col("low") != F.col("high"))
-        .select("key", "node", "need", "n").distinct()
-    )
     mine = Window.partitionBy("node", F.col("need") > 0)
-    need = F.abs(F.min(F.abs("need")).over(mine))
-    ranked = shared.withColumns({"have": F.count("*").over(mine), "must": need, "rank": F.row_number().over(mine.orderBy("n", "key"))})
-    useful = ranked.where((F.col("have") >= F.col("must")) & (F.col("rank") <= F.col("have") - F.col("must") + 1)).select("key", "node")
+
+    def shared(rows: DataFrame) -> DataFrame:
+        """Blocks of more than one set, and of those only the sets that still have enough of them."""
+        met = rows.withColumns({"n": F.count("*").over(key), "low": F.min("node").over(key), "high": F.max("node").over(key)})
+        met = met.where(F.col("low") != F.col("high")).select("key", "node", "need", "n").distinct()
+        counted = met.withColumns({"have": F.count("*").over(mine), "must": F.min(F.abs("need")).over(mine)})
+        return counted.where(F.col("have") >= F.col("must"))
+
+    first = scratch.write(shared(docs.select("text").mapInArrow(_elements, "key long, node long, need int")), "shared")
+    again = shared(first.select("key", "node", "need"))  # partners may have gone
+    ranked = again.withColumn("rank", F.row_number().over(mine.orderBy("n", "key")))
+    useful = ranked.where(F.col("rank") <= F.col("have") - F.col("must") + 1).select("key", "node")
     return useful.withColumn("low", F.min("node").over(key)).where(F.col("node") != F.col("low")).select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
 
 
@@ -239,9 +245,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "near")
     keyed = with_row_key(docs.select("doc_id", "text"), "doc_id", "text")
     sized = scratch.write(keyed.select("text", "doc_id", "_rk1", "_rk2").mapInArrow(_sizes, "doc_id long, _rk1 long, _rk2 long, n long, node long"), "sized")
-    star = scratch.write(_candidates(docs), "candidates")
+    star = scratch.write(_candidates(docs, scratch), "candidates")
     clusters = scratch.write(components(star, scratch, "clusters"), "clusters").withColumnRenamed("comp", "cluster")
-    scratch.drop("candidates")
+    scratch.drop("candidates", "shared")
 
     one = sized.groupBy("node").agg(F.min(F.struct("_rk1", "_rk2", "n")).alias("r")).join(clusters, "node")
     members = scratch.write(one.select("node", "cluster", "r.n", "r._rk1", "r._rk2"), "members")
