@@ -65,6 +65,10 @@ class Scratch:
                 drop_path(self.spark, path)
 
 
+#: Whole texts go to Python in smaller batches than Spark's default, which counts rows and not bytes.
+TEXT_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Scratch, with_row_key
+from ledgerlark.llm.common import TEXT_BATCH, Scratch, setting, with_row_key
 from ledgerlark.llm.graph import components
 from ledgerlark.llm.hashing import mix, shingle_set, word_hashes
 
@@ -241,6 +241,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id take part in links but name no component.  Repeated rows are one node and come back once each.  An empty
     table gives an empty result.  Shingles and sets are compared by 64-bit hashes.
     """
+    with setting(docs.sparkSession, *TEXT_BATCH):  # all passes over texts are written in here
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     keyed = with_row_key(docs.select("doc_id", "text"), "doc_id", "text")

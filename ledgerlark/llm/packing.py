@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-from ledgerlark.llm.common import Scratch
+from ledgerlark.llm.common import TEXT_BATCH, Scratch, setting
 
 CAPACITY = 2048
 END_ID = 0
@@ -238,7 +238,8 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str |
     scratch = Scratch(spark, "packing")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     cut = partial(_cut_pieces, path=vocabulary, capacity=capacity, with_ids=with_ids)
-    pieces = scratch.write(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema), "pieces")
+    with setting(spark, *TEXT_BATCH):
+        pieces = scratch.write(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return pieces.withColumns({"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
