@@ -9,10 +9,11 @@ from ledgerlark.checks import (
     learning_checks,
     report_checks,
     score_checks,
+    sink_checks,
     stream_checks,
 )
 
-_MODULES = (feature_checks, cleaning_checks, increment_checks, score_checks, learning_checks, report_checks, stream_checks)
+_MODULES = (feature_checks, cleaning_checks, increment_checks, score_checks, learning_checks, report_checks, stream_checks, sink_checks)
 
 
 def queries() -> dict:

@@ -14,7 +14,7 @@ from ledgerlark.operators.features import provider_year_features
 from ledgerlark.operators.forest import ForestModel
 from ledgerlark.operators.scores import score_batch
 from ledgerlark.plans.retrain import active_model, first_model
-from ledgerlark.session import materialise
+from ledgerlark.session import materialise, temporary_tables
 from ledgerlark.sources import tables
 from ledgerlark.sources.warehouse import POSITIONS, RUN_EVENTS, Warehouse
 
@@ -62,11 +62,12 @@ def run_weekly(
 
     event(0, "running")
     try:
-        refresh_features(wh, batch_id, position, end)
-        model_id, model = active_model(wh) or first_model(wh, now)
-        scores = materialise(score_batch(wh.features(), model, run_id, batch_id, threshold), "scores")
-        with_reasons = explain(wh, scores, model, run_id)
-        tables.append(with_reasons, wh.path("provider_risk_scores"), ["scoring_run_id"])
+        with temporary_tables(wh.spark):
+            refresh_features(wh, batch_id, position, end)
+            model_id, model = active_model(wh) or first_model(wh, now)
+            scores = materialise(score_batch(wh.features(), model, run_id, batch_id, threshold), "scores")
+            with_reasons = explain(wh, scores, model, run_id)
+            tables.append(with_reasons, wh.path("provider_risk_scores"), ["scoring_run_id"])
         wh.add_state("positions", POSITIONS, ("carrier", window["batch_end"], batch_id))
     except Exception as exc:
         event(1, "failed", error=str(exc))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,12 +62,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_OPEN_JOBS: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables that ``materialise`` writes inside the block are removed at its end, also after a failure.
+
+    For jobs that leave nothing lazy behind.
+    """
+    mine: list[str] = []
+    _OPEN_JOBS.append(mine)
+    try:
+        yield
+    finally:
+        _OPEN_JOBS.remove(mine)
+        for path in mine:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a frame as Parquet below the shared folder and read it back.
 
     Cuts lineage and fixes the rows: a lost executor re-reads files instead of re-running the plan.
     """
     path = scratch_path(df.sparkSession, label)
+    if _OPEN_JOBS:
+        _OPEN_JOBS[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

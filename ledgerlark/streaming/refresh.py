@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ledgerlark.operators.features import PROVIDER, keep_providers, provider_year_features
 from ledgerlark.operators.ranking import first_per_key
-from ledgerlark.session import materialise
+from ledgerlark.session import materialise, temporary_tables
 from ledgerlark.sources.tables import replace_rows
 
 KEYS = [PROVIDER, "period_year"]
@@ -31,14 +31,15 @@ def refresh_from_files(
     """Start the stream over all files not yet seen; it ends when they are processed."""
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        # A list of provider ids, one row each, fixed for the joins below.
-        active = materialise(batch.select(PROVIDER).dropna().distinct(), "active-providers")
-        history = spark.read.schema(schema).parquet(claims_path)
-        own = keep_providers(history, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
-        own = first_per_key(own, ["clm_id"], ("clm_from_dt", "desynpuf_id", PROVIDER))  # a claim may be delivered again
-        own_outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
-        rows = provider_year_features(own, bene, own_outpatient, batch_id=batch_id + 1)
-        replace_rows(rows, feature_path, KEYS, "period_year")
+        with temporary_tables(spark):
+            # A list of provider ids, one row each, fixed for the joins below.
+            active = materialise(batch.select(PROVIDER).dropna().distinct(), "active-providers")
+            history = spark.read.schema(schema).parquet(claims_path)
+            own = keep_providers(history, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
+            own = first_per_key(own, ["clm_id"], ("clm_from_dt", "desynpuf_id", PROVIDER))  # a claim may be delivered again
+            own_outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
+            rows = provider_year_features(own, bene, own_outpatient, batch_id=batch_id + 1)
+            replace_rows(rows, feature_path, KEYS, "period_year")
 
     reader = spark.readStream.schema(schema)
     if max_files is not None:
