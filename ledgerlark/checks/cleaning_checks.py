@@ -95,22 +95,16 @@ row_audit AS (
 
 
 def src_csv_roundtrip(spark, sf_dir):
-    """Every carrier file discovered, read back as text and counted by file and by filled column."""
+    """Every file discovered and read back as text: filled values and their characters, for every column."""
     root = raw_zone(spark, sf_dir)
-    found = raw.discover(spark, f"{root}/csv").filter(F.col("file_name").contains("Carrier"))
-    paths = [r["location"] for r in found.collect()]
-    back = spark.read.option("header", True).csv(paths)
-    return back.select(
-        raw.file_name().alias("file_name"),
-        "clm_id",
-        "desynpuf_id",
-        "clm_from_dt",
-        "prf_physn_npi_1",
-        "hcpcs_cd_1",
-        "hcpcs_cd_13",
-        "line_alowd_chrg_amt_2",
-        "line_nch_pmt_amt_3",
-    )
+    out = None
+    for r in raw.discover(spark, f"{root}/csv").collect():
+        back = raw.read_csv(spark, r["location"])
+        totals = back.agg(*[F.struct(F.count(c), F.coalesce(F.sum(F.length(c)), F.lit(0))).alias(c) for c in back.columns])
+        long = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`.col1").alias("filled"), F.col(f"`{c}`.col2").alias("chars")) for c in back.columns])
+        part = totals.select(F.lit(r["file_name"]).alias("file_name"), F.inline(long))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def src_staging_load(spark, sf_dir):
@@ -451,16 +445,24 @@ def _bene_select() -> str:
     )
 
 
-ORACLE = {
-    "src_csv_roundtrip": f"WITH {_FILES} SELECT 'DE1_0_2008_to_2010_Carrier_Claims_Sample_' || CASE m WHEN 0 THEN '1A' WHEN 1 THEN '1B' ELSE '2A' END AS file_name, "
-    + ", ".join(
-        f"nullif({c}, '') AS {c}"
-        for c in (
-            "clm_id", "desynpuf_id", "clm_from_dt", "prf_physn_npi_1", "hcpcs_cd_1", "hcpcs_cd_13",
-            "line_alowd_chrg_amt_2", "line_nch_pmt_amt_3",
-        )
+
+
+def _long(rows: str) -> str:
+    return (
+        "SELECT file_name, name AS \"column\", count(nullif(v, '')) AS filled, CAST(coalesce(sum(length(v)), 0) AS BIGINT) AS chars"
+        f" FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({rows})) UNPIVOT INCLUDE NULLS (v FOR name IN (COLUMNS(* EXCLUDE (file_name)))) GROUP BY ALL"
     )
-    + " FROM wide_k",
+
+
+_CARRIER_NAME = "'DE1_0_2008_to_2010_Carrier_Claims_Sample_' || CASE m WHEN 0 THEN '1A' WHEN 1 THEN '1B' ELSE '2A' END"
+_OP_SAMPLE = "(CAST(desynpuf_id AS BIGINT) % 2 + 1)"
+_LONG_FILES = f"""l1 AS ({_long(f"SELECT {_CARRIER_NAME} AS file_name, * EXCLUDE (m) FROM wide_k")}),
+l2 AS ({_long(f"SELECT 'DE1_0_2008_to_2010_Outpatient_Claims_Sample_' || {_OP_SAMPLE} AS file_name, * FROM raw_op")}),
+l3 AS ({_long("SELECT 'DE1_0_' || y || '_Beneficiary_Summary_File_Sample_' || s AS file_name, * EXCLUDE (s, y, year, sample_id) FROM bene_k")})
+SELECT * FROM l1 UNION ALL SELECT * FROM l2 WHERE NOT (file_name LIKE '%_2' AND "column" = 'clm_pmt_amt') UNION ALL SELECT * FROM l3"""
+
+ORACLE = {
+    "src_csv_roundtrip": f"WITH {_FILES}, " + _LONG_FILES,
     "src_staging_load": f"WITH {_FILES} SELECT kind AS file_type, CAST(s AS INT) AS sample_id, y AS year, count(*) AS rows, count(DISTINCT id) AS beneficiaries FROM file_rows GROUP BY ALL",
     "src_load_log": f"WITH {_FILES} SELECT kind AS table_name, CAST(s AS INT) AS sample_id, file_name, count(*) AS rows_loaded FROM file_rows GROUP BY ALL",
     "dq_row_count": f"WITH {_FILES} SELECT sample, file_name, rows, target, {sql_snap('deviation')} AS deviation, finding, {_SEVERITY} AS severity FROM row_audit",
