@@ -6,6 +6,8 @@ as counts or digests, they are derived here from the operator's output.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,6 +165,49 @@ q AS (SELECT f.lang, f.source, f.rule, {pick("mid")}, {pick("low")}, {pick("high
 judged AS (SELECT *, bf AS base_failed, NOT bf AND NOT ({" OR ".join(fails)}) AS kept FROM m m2)"""
 
 
+def _any_case(pattern: str) -> str:
+    """The pattern with its case-insensitive groups spelled out for A-Z, as the other engine folds more than A-Z."""
+
+    def spell(m: re.Match) -> str:
+        out = re.sub(r"\[[^]]*\]|[a-z]", lambda x: x[0].replace("a-z", "A-Za-z") if x[0][0] == "[" else f"[{x[0].upper()}{x[0]}]", m[1])
+        return f"(?:{out})"
+
+    return re.sub(r"\(\?i:([^()]*)\)", spell, pattern)
+
+
+def sql_spans(docs: str) -> str:
+    """CTE text that ends in ``spans`` (doc_id, kind, k, st, en): base and linked spans of every document."""
+    quoted = lambda pattern: "'" + _any_case(pattern).replace("'", "''") + "'"
+    value = f"length(regexp_extract(hit, {quoted(secret_scan.ASSIGN)}, 2))"
+    mixed = "regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') AND NOT regexp_full_match(hit, 'AKIA[A-Z0-9]+')"
+    rules = [  # pattern, role, kind, number of the kind, condition
+        (secret_scan.ASSIGN, "secret", "assign", 0, f"{value} >= {secret_scan.ASSIGN_VALUE}"),
+        (secret_scan.ACCESS, "id", "access", 1, f"length(hit) >= {secret_scan.ACCESS_CHARS}"),
+        (secret_scan.HEX, "secret", "hex", 2, "true"),
+        (secret_scan.ID, "id", "linked_id", 3, "true"),
+        (secret_scan.ASSIGN, "secret", "linked_secret", 4, f"{value} < {secret_scan.ASSIGN_VALUE}"),
+        (secret_scan.KEYLIKE, "secret", "linked_secret", 4, mixed),
+        (secret_scan.ENDPOINT, "endpoint", "linked_endpoint", 5, "true"),
+    ]
+    found = " UNION ".join(
+        f"""SELECT doc_id, scope, '{role}' AS role, '{kind}' AS kind, {k} AS k, st, st + length(hit) AS en FROM (
+  SELECT doc_id, scope, hits[i] AS hit, before + list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS st
+  FROM (SELECT *, regexp_extract_all(body, {quoted(pattern)}) AS hits, string_split_regex(body, {quoted(pattern)}) AS gaps FROM scopes), unnest(range(1, len(hits) + 1)) AS u(i)
+) WHERE {condition}"""
+        for pattern, role, kind, k, condition in rules
+    )
+    near = lambda role: (
+        f"EXISTS (SELECT 1 FROM parts q WHERE q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.scope = p.scope AND q.role = '{role}' AND (q.st >= p.en OR p.st >= q.en)"
+        f" AND greatest(q.st - p.en, p.st - q.en) <= {secret_scan.WINDOW})"
+    )
+    return f"""
+cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10) || chr(10)) AS bodies FROM {docs}),
+scopes AS (SELECT doc_id, n AS scope, bodies[n] AS body, coalesce(list_sum(list_transform(bodies[1:n - 1], lambda x: length(x) + 2)), 0) AS before
+           FROM cut, unnest(range(1, len(bodies) + 1)) AS u(n)),
+parts AS ({found}),
+spans AS (SELECT doc_id, kind, k, st, en FROM parts p WHERE k <= 2 OR (k = 3 AND {near("secret")}) OR (k = 4 AND {near("id")}) OR (k = 5 AND {near("id")} AND {near("secret")}))"""
+
+
 SQL_COMPONENTS = f"""
 sh_w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM {{docs}}),
 sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM sh_w, unnest(range(1, greatest(len(ws) - 3, CASE WHEN len(ws) > 0 THEN 2 ELSE 1 END))) AS u(i)),
@@ -179,6 +224,12 @@ SELECT comp.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id F
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op7_credential_links": f"""WITH {sql_spans("documents")},
+one AS (SELECT doc_id, kind || ':' || CAST(st AS BIGINT) || ':' || CAST(en AS BIGINT) AS s, kind, k, st, en FROM spans)
+SELECT d.doc_id, count(s) FILTER (kind = 'assign') AS n_assign, count(s) FILTER (kind = 'access') AS n_access, count(s) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(s, ',' ORDER BY st, k, en) FILTER (k <= 2), '')) AS base_sha256,
+       coalesce(string_agg(s, ',' ORDER BY st, k, en), '') AS spans
+FROM documents d LEFT JOIN one ON one.doc_id = d.doc_id GROUP BY d.doc_id""",
     "op8_chat_format": r"""WITH t AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),

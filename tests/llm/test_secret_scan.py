@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import queries, secret_scan as ss
@@ -88,3 +89,12 @@ def test_no_python_in_the_plan(spark):
     plan = ss.scan(spark.createDataFrame([(1, "user=a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert F  # expressions only
+
+
+def test_sql_follows_the_linking():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts())))
+    got = {r[0]: r[5] for r in con.execute(queries.ORACLE["op7_credential_links"]).fetchall()}
+    assert got == {i: ",".join(f"{k}:{s}:{e}" for k, s, e in brute(t or "")) for i, t in enumerate(texts())}
+    assert sum("linked" in v for v in got.values()) > 50
