@@ -69,6 +69,13 @@ class Scratch:
 TEXT_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+def slices(batches, rows: int = 500):
+    """Record batches cut into views of few rows, so that what a task builds from whole texts stays small."""
+    for rb in batches:
+        for at in range(0, rb.num_rows, rows):
+            yield rb.slice(at, rows)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

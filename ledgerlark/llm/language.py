@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Scratch
+from ledgerlark.llm.common import Scratch, slices
 
 ORDER = 3
 SAMPLE = 400
@@ -161,7 +161,7 @@ def code_lengths(texts: list[bytes], trees: ContextTrees) -> np.ndarray:
 def _predict(batches: Iterator[pa.RecordBatch], trees: ContextTrees) -> Iterator[pa.RecordBatch]:
     """Replace the last column (text) by lang_pred and score."""
     names = np.array([*trees.languages, UNDETERMINED], dtype=object)
-    for rb in batches:
+    for rb in slices(batches):
         texts = rb.column(rb.num_columns - 1).to_pylist()
         if trees.languages:
             bits = code_lengths([_bytes(t) for t in texts], trees)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Scratch, join_on_key, shuffle_partitions, with_row_key
+from ledgerlark.llm.common import Scratch, join_on_key, shuffle_partitions, slices, with_row_key
 
 BATCHES = 4
 FANOUT = 2
@@ -70,7 +70,7 @@ def _count_keys(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[p
 
 def _line_hashes(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
     """(_rk1, _rk2, h1, h2, line) for each line with a key."""
-    for rb in batches:
+    for rb in slices(batches):
         cols: list[list[int]] = [[], [], [], [], []]
         for text, a, b in zip(rb.column(0), rb.column(1).to_pylist(), rb.column(2).to_pylist(), strict=True):
             for i, line in enumerate(_lines(text.as_py())):
@@ -83,7 +83,7 @@ def _line_hashes(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[
 
 def _keep_lines(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
     """Replace the text and append n_lines, n_dropped; the last input column lists the dropped line numbers."""
-    for rb in batches:
+    for rb in slices(batches):
         texts, n_lines, n_dropped = [], [], []
         for text, gone in zip(rb.column(text_at), rb.column(rb.num_columns - 1), strict=True):
             lines, drop = (text.as_py() or "").split("\n"), set(gone.as_py() or ())

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Scratch
+from ledgerlark.llm.common import Scratch, slices
 
 BLOCK = 512
 BLOCKS_PER_DOC = 8
@@ -78,7 +78,7 @@ def _sample_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _features(batches: Iterator[pa.RecordBatch], good: bytes, bad: bytes) -> Iterator[pa.RecordBatch]:
     """Replace the last column (text) by saved and size."""
     a, b = _compressor(good), _compressor(bad)
-    for rb in batches:
+    for rb in slices(batches):
         found = [size_difference(t, a, b) for t in rb.column(rb.num_columns - 1).to_pylist()]
         cols = [*rb.columns[:-1], pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())]
         yield pa.RecordBatch.from_arrays(cols, names=[*rb.schema.names[:-1], "saved", "size"])
