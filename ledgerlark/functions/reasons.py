@@ -37,30 +37,61 @@ _FRACTION_BITS = 62
 _MAX_DIGITS = 4
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _number(value: Column, digits: Column, percent: Column, plus: Column) -> Column:
     """The value with so many decimals, rounded from its exact binary value, halves to the even digit.
 
     All steps are exact: the fraction of a double times 2**62 is a whole number (for magnitudes from 2**-10; below
     that only bits past the last place that could decide are lost), and the rest is integer arithmetic.
     """
-    x = F.when(percent, value * 100).otherwise(value).cast("double")
-    size = F.abs(x)
-    whole = F.floor(size).cast("decimal(19,0)")
-    bits = ((size - F.floor(size)) * float(1 << _FRACTION_BITS)).cast("bigint").cast("decimal(19,0)")
-    power = F.element_at(F.array(*[F.lit(10**d) for d in range(_MAX_DIGITS + 1)]), digits + 1).cast("decimal(5,0)")
-    scaled = bits * power
-    unit = F.lit(1 << _FRACTION_BITS)
-    low = F.call_function("div", scaled, unit)
-    rest = scaled - low.cast("decimal(19,0)") * unit
-    half = F.lit(1 << (_FRACTION_BITS - 1))
-    total = whole * power + low
-    up = (rest > half) | ((rest == half) & (total % 2 == 1))
-    text = (total + F.when(up, 1).otherwise(0)).cast("decimal(38,0)").cast("string")
-    text = F.lpad(text, F.greatest(F.length(text), digits + 1), F.lit("0"))
-    point = F.length(text) - digits
-    text = F.concat(F.substring(text, F.lit(1), point), F.when(digits > 0, ".").otherwise(""), F.substring(text, point + 1, digits))
-    sign = F.when(x < 0, "-").otherwise(F.when(plus, "+").otherwise(""))
-    return F.concat(sign, text, F.when(percent, "%").otherwise(""))
+    unit, half = F.lit(1 << _FRACTION_BITS), F.lit(1 << (_FRACTION_BITS - 1))
+    powers = F.array(*[F.lit(10**d) for d in range(_MAX_DIGITS + 1)])
+
+    def split(f: Column) -> Column:
+        size = F.abs(f["x"])
+        bits = ((size - F.floor(size)) * float(1 << _FRACTION_BITS)).cast("bigint").cast("decimal(19,0)")
+        power = F.element_at(powers, f["digits"] + 1).cast("decimal(5,0)")
+        return _let(
+            F.struct(f.alias("f"), F.floor(size).cast("decimal(19,0)").alias("whole"), (bits * power).alias("scaled"), power.alias("power")), round_
+        )
+
+    def round_(p: Column) -> Column:
+        low = F.call_function("div", p["scaled"], unit)
+        return _let(
+            F.struct(
+                p["f"].alias("f"),
+                (p["scaled"] - low.cast("decimal(19,0)") * unit).alias("rest"),
+                (p["whole"] * p["power"] + low).alias("total"),
+            ),
+            write,
+        )
+
+    def write(r: Column) -> Column:
+        up = (r["rest"] > half) | ((r["rest"] == half) & (r["total"] % 2 == 1))
+        text = (r["total"] + F.when(up, 1).otherwise(0)).cast("decimal(38,0)").cast("string")
+        return _let(F.struct(r["f"].alias("f"), text.alias("text")), point)
+
+    def point(t: Column) -> Column:
+        f, digits = t["f"], t["f"]["digits"]
+        padded = F.lpad(t["text"], F.greatest(F.length(t["text"]), digits + 1), F.lit("0"))
+        body = _let(
+            F.struct(padded.alias("t"), digits.alias("d")),
+            lambda q: F.concat(
+                F.substring(q["t"], F.lit(1), F.length(q["t"]) - q["d"]),
+                F.when(q["d"] > 0, ".").otherwise(""),
+                F.substring(q["t"], F.length(q["t"]) - q["d"] + 1, q["d"]),
+            ),
+        )
+        sign = F.when(f["x"] < 0, "-").otherwise(F.when(f["plus"], "+").otherwise(""))
+        return F.concat(sign, body, F.when(f["percent"], "%").otherwise(""))
+
+    format_ = F.struct(value.cast("double").alias("v"), digits.alias("digits"), percent.alias("percent"), plus.alias("plus"))
+    scaled = lambda f: F.struct(F.when(f["percent"], f["v"] * 100).otherwise(f["v"]).alias("x"), f["digits"], f["percent"], f["plus"])
+    return _let(format_, lambda f: _let(scaled(f), split))
 
 
 def _filled(text: str, feature: Column, direction: Column) -> Column:
