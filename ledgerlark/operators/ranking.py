@@ -90,7 +90,7 @@ def auc_by_group(df: DataFrame, groups: Sequence[str], score: str, label: str, b
     )
     cuts = F.percentile_approx("_s", [i / buckets for i in range(1, buckets)], 10 * buckets)
     edges = hist.groupBy(*groups).agg(cuts.alias("_edges"))
-    hist = join_null_safe(hist, edges, groups) if groups else hist.crossJoin(F.broadcast(edges))  # one row
+    hist = join_null_safe(hist, edges, groups) if groups else hist.withColumn("_edges", edges.select("_edges").scalar())
     hist = hist.withColumn("_b", F.size(F.filter("_edges", lambda e: e <= F.col("_s")))).drop("_edges")
     below_bucket = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
