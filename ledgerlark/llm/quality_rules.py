@@ -1,7 +1,7 @@
 """Quality rules whose thresholds come from the corpus: one mergeable quantile sketch per language and source.
 
 The sketch of a ratio is a histogram over its thousandths (of a mean word length: over hundredths), built with
-a plain map-side combined count, merged by adding counts, and exact in rank.  Where a source has few documents in a
+a plain map-side combined count, merged by adding counts, and exact in rank (far beyond any ordinary value its buckets widen).  Where a source has few documents in a
 language, the sketches of all its sources are merged; below that, all sketches.
 
 A document fails an upper rule when its value lies above  median + SPREAD * (median - lower decile) + slack  of its
@@ -21,8 +21,9 @@ SPREAD = 6
 UPPER = {"symbols": 60, "dup_lines": 500, "repeats": 400, "word_len": 600}
 LOWER = {"word_len": 200}
 BROADCAST_GROUPS = 50_000
-#: Sketch buckets beyond this value are one.
+#: Sketch buckets up to this value are exact; beyond it they widen with the value, by one part in FINE at most.
 TOP = 20_000
+FINE = 4096
 
 
 def word_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -73,8 +74,8 @@ def word_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _units() -> dict[str, Column]:
-    """Integer sketch values; division by nothing gives 0."""
-    ratio = lambda a, b, scale: F.when(F.col(b) > 0, F.least(F.lit(TOP), F.expr(f"({scale} * {a}) div {b}"))).otherwise(F.lit(0)).cast("int")
+    """Integer values that are judged; division by nothing gives 0."""
+    ratio = lambda a, b, scale: F.when(F.col(b) > 0, F.expr(f"({scale} * {a}) div {b}")).otherwise(F.lit(0)).cast("long")
     return {
         "symbols": ratio("n_symbols", "word_chars", 1000),
         "dup_lines": ratio("n_dup_lines", "n_text_lines", 1000),
@@ -83,12 +84,22 @@ def _units() -> dict[str, Column]:
     }
 
 
+def _bucket(value: Column) -> Column:
+    """Sketch bucket of a value: the lowest value in it."""
+    width = F.lit(1).cast("long")
+    at = 2 * FINE
+    while at < 1 << 40:  # a value is below 1,000 times the length of a text
+        width = F.when(value >= at, F.lit(at // FINE).cast("long")).otherwise(width)
+        at *= 2
+    return F.when(value <= TOP, value).otherwise(value - F.pmod(value, width))
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def _quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Median, lower decile and size per group and rule.  A group has at most TOP + 1 buckets."""
+    """Median, lower decile and size per group and rule.  A group has TOP + 1 buckets at most, and FINE for each doubling beyond."""
     merged = sketch.groupBy(*by, "rule", "value").agg(F.sum("n").alias("n"))
     run = Window.partitionBy(*by, "rule").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*by, "rule")
@@ -103,7 +114,7 @@ def thresholds(metrics: DataFrame, scratch: Scratch) -> DataFrame:
     Only documents that pass the base rules shape the sketches.
     """
     units = _units()
-    stack = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("value")) for k, v in units.items()]))
+    stack = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), _bucket(v).alias("value")) for k, v in units.items()]))
     sketch = scratch.write(
         metrics.where(~base_failed()).select("lang", "source", stack.alias("s")).groupBy("lang", "source", "s.rule", "s.value").agg(F.count("*").alias("n")),
         "sketch",

@@ -85,3 +85,21 @@ def test_missing_columns_and_empty_table(spark):
     assert qr.apply_rules(docs.where("false"), ["doc_id"]).count() == 0
     plan = qr.apply_rules(docs, ["doc_id"])._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_words_are_judged_in_full(spark):
+    """Beyond TOP a value still counts: blobs fail among long words, and groups of longer words adapt."""
+    text = lambda size: " ".join(f"{i:03d}" + "x" * (size - 3) for i in range(60))
+    rows = [(i, text(60 if i < 10 else 80 if i < 48 else 120), "a") for i in range(60)] + [(60, text(5000), "a")]
+    rows += [(100 + i, text(300 + i % 3), "b") for i in range(60)] + [(160, text(5000), "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = qr.apply_rules(docs, ["doc_id"]).collect()
+    assert not any(r["base_failed"] for r in out)
+    assert {r["doc_id"] for r in out if not r["kept"]} == {60, 160}
+
+
+def test_buckets_are_exact_then_fine(spark):
+    values = [0, 1, 8191, 19_999, qr.TOP, qr.TOP + 1, 32_767, 32_768, 1_000_003, 2**31 + 12_345, 2**39 + 1]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    for v, b in df.select("v", qr._bucket(df["v"])).collect():
+        assert b == v if v <= qr.TOP else v - v / qr.FINE < b <= v
