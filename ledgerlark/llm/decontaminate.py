@@ -1,11 +1,13 @@
-"""Benchmark decontamination: item-sized windows, SimHash, Hamming blocks, exact weighted-shingle similarity.
+"""Benchmark decontamination: item-sized windows, rare shingles, exact weighted-shingle similarity, SimHash distance.
 
 * Windows.  A window has as many words as a benchmark item and is laid where it shares a five-word shingle with an
   item of that size, at the item's own alignment (kept inside the text).  A window without a shared
   shingle has similarity 0, so none that could be reported is left out.
-* Fingerprints.  A window's 64-bit SimHash is taken over its words, each as often as it occurs.
-* Search.  The 64 bits are cut into RADIUS + 1 blocks.  Fingerprints within RADIUS agree in a block at least, so
-  joining on (size, block, value) finds every item of the size within the radius.
+* Search.  A window that reaches the threshold lacks less of an item than the threshold leaves, so it holds one of
+  the item's rarest shingles, taken up to one occurrence more than it may lack.  Joining on (size, shingle)
+  therefore finds every item of the size that can be reported.
+* Fingerprints.  A window's 64-bit SimHash is taken over its words, each as often as it occurs.  Its distance to the
+  item's is reported; it excludes nothing, because at similarity 0.8 it has no upper bound.
 * Verification.  Shingles weigh as often as they occur; similarity is the sum of the smaller weights over the sum
   of the larger ones, computed exactly, and has to reach the threshold.
 
@@ -15,15 +17,15 @@ Everything is DataFrame expressions; texts stay in the scan, only windows with a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import Scratch, with_row_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
-BLOCK_BITS = 64 // (RADIUS + 1)
+#: Largest SimHash distance that is reported: any.
+RADIUS = 64
 BROADCAST_ROWS = 500_000
 
 
@@ -49,10 +51,15 @@ def with_fingerprint(df: DataFrame, array: str) -> DataFrame:
     return hashed.withColumn("fp", fp).drop("_h")
 
 
-def _blocks(df: DataFrame) -> DataFrame:
-    """One row per block of the fingerprint: (..., block, value)."""
-    value = [F.shiftrightunsigned("fp", BLOCK_BITS * j).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int") for j in range(RADIUS + 1)]
-    return df.select("*", F.posexplode(F.array(*value)).alias("block", "value"))
+def _rare_shingles(items: DataFrame, similarity: float) -> DataFrame:
+    """(item_id, w, item_fp, h): the shingles of an item of which a window within ``similarity`` holds one at least."""
+    held = items.select("item_id", "w", "item_shingles", F.col("fp").alias("item_fp"), F.explode(F.array_distinct("item_shingles")).alias("h"))
+    known = held.groupBy("w", "h").agg(F.count("*").alias("among")).withColumnsRenamed({"w": "w_", "h": "h_"})
+    times = F.size(F.filter("item_shingles", lambda x: x == F.col("h")))
+    ranked = held.withColumn("times", times).join(known, (F.col("w") == F.col("w_")) & (F.col("h") == F.col("h_")))
+    before = Window.partitionBy("item_id", "w", "item_shingles").orderBy("among", "h").rowsBetween(Window.unboundedPreceding, -1)
+    may_lack = F.floor((1 - similarity) * F.size("item_shingles") + 1e-6)
+    return ranked.withColumn("before", F.coalesce(F.sum("times").over(before), F.lit(0))).where(F.col("before") <= may_lack).select("item_id", "w", "item_fp", "h")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -89,11 +96,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     )
     windows = scratch.write(placed.distinct(), "windows")
 
-    marked = _blocks(with_fingerprint(windows, "window").select("doc_id", "_rk1", "_rk2", "w", "start", "fp"))
-    index = scratch.write(_blocks(items.select("item_id", "w", F.col("fp").alias("fp"))).withColumnRenamed("fp", "item_fp"), "index")
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
+    marked = with_fingerprint(windows, "window").where(F.size("window") >= SHINGLE)
+    marked = marked.select("doc_id", "_rk1", "_rk2", "w", "start", "fp", F.explode(F.array_distinct(_shingles("window"))).alias("h"))
+    index = scratch.write(_rare_shingles(items, similarity), "index")
     near = (
-        marked.join(_small(index), ["w", "block", "value"]).withColumn("distance", distance).where(F.col("distance") <= RADIUS)
+        marked.join(_small(index), ["w", "h"]).withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
         .select("doc_id", "_rk1", "_rk2", "w", "start", "item_id", "distance").distinct()
     )
     at_window = ["_rk1", "_rk2", "w", "start"]

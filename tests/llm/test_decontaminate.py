@@ -89,3 +89,23 @@ def test_removal_keeps_columns_and_clean_rows(spark):
     assert dc.find_contamination(docs.where("false"), bench).count() == 0
     plan = dc.find_contamination(docs, bench)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_no_distance_hides_a_copy(spark):
+    """Brute force without a bound on the SimHash distance, on items whose words are few or many."""
+    rng = random.Random(4)
+    items = [(0, ["a", "b"] * 12 + ["a"]), (1, ["x", "y", "z"] * 8)] + [(2 + k, [f"v{k}w{i}" for i in range(w)]) for k, w in enumerate([15, 40, 59, 100, 200] * 3)]
+    docs = []
+    for k in range(170):
+        i, item = items[k % len(items)]
+        cut = rng.randrange(1, max(2, (len(item) - 4) // 9 + 1))
+        new = [f"n{k}u{j}" for j in range(cut)]
+        copy = new + item[cut:] if k % 2 else item[: len(item) - cut] + new
+        docs.append((k, " ".join([f"p{k}", *copy, f"q{k}"])))
+    docs += [(500 + k, " ".join([f"p{k}", f"r{k}", *items[0][1][1:-1], f"s{k}", f"q{k}"])) for k in range(10)]  # most bits were nearly tied
+    texts = [(i, " ".join(w)) for i, w in items]
+    found = dc.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(texts, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in found.collect()}
+    want = {(d, i) for d, text in docs for i, item in texts if any(alike(win, words(item)) >= 0.8 for _, win in windows(words(text), len(words(item))))}
+    assert len(want) > 150 and set(got) == want
+    assert max(got.values()) > 15
