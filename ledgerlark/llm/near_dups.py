@@ -4,8 +4,8 @@ Sets A, B reach 0.8 exactly when their symmetric difference has at most (|A| + |
 
 * Sketch.  In a size band the shingle hashes are dealt to ``k`` blocks; a block holds the XOR of its shingles.
   A shingle in one set only changes one block, so the number of differing blocks never exceeds the symmetric
-  difference ``d``.  By the pigeonhole rule, of ``p = d + need`` blocks taken in one global order (fullest first,
-  then by value) two similar sets share at least ``need``.
+  difference ``d``.  By the pigeonhole rule, of the first ``p`` blocks in one global order (fullest first, then by
+  value) two similar sets share at least the smaller ``p`` less ``d``; ``need`` is the least of that over all partners' sizes.
 * Join.  A document is only kept if enough of its blocks occur in another document too, and only its rarest
   blocks can then be needed.  Every block's members are linked to the block's smallest member: a linear number of
   candidate links whose clusters contain every true link.
@@ -21,6 +21,7 @@ next one if a partner up to 1.25 times its size falls there.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,8 +62,36 @@ def _band_top(band: int) -> int:
     return SMALLEST_BAND << band
 
 
-def blocks(s: np.ndarray, band: int, d: int) -> tuple[np.ndarray, int]:
-    """(block keys, need): at least ``need`` of them are shared with any set within distance d."""
+@cache
+def _distance(n: int, band: int) -> int:
+    """Largest distance of a set of size n to a similar one in the band."""
+    return (n + (n * 5 // 4 if n < _band_top(band) // 2 and band else min(n * 5 // 4, _band_top(band) - 1))) // 9
+
+
+def _length(n: int, band: int) -> int:
+    """Blocks that a set of size n shows in the band."""
+    d = _distance(n, band)
+    return n if band == 0 else d + max(2, d // 2)
+
+
+@cache
+def _need(n: int, band: int) -> int:
+    """Blocks that a set of size n shares with any similar set in the band: the least over the sizes of partners.
+
+    Of two sets the shorter list of blocks counts.  In band 0 both show everything, so the intersection counts.  A set
+    from the band below has partners of the band's own sizes only; two sets from below meet there.
+    """
+    top = _band_top(band)
+    own = 0 if band == 0 else top // 2
+    smallest = own if n < own else max(-(-4 * n // 5), -(-2 * top // 5) if band else 1)
+    sizes = range(smallest, min(n * 5 // 4, top - 1) + 1)
+    if band == 0:
+        return min(-(-4 * (n + m) // 9) for m in sizes)
+    return min(min(_length(n, band), _length(m, band)) - (n + m) // 9 for m in sizes)
+
+
+def blocks(s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+    """(block keys, need): at least ``need`` of them are shared with any similar set in the band."""
     n = len(s)
     if band == 0:
         keys, counts = s, None
@@ -73,21 +102,19 @@ def blocks(s: np.ndarray, band: int, d: int) -> tuple[np.ndarray, int]:
         counts = np.diff(np.append(first, n))
         keys = np.bitwise_xor.reduceat(mix(s), first) + at[first]
     keys = mix(keys + _U((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-    p = len(keys) if band == 0 else min(len(keys), d + max(2, d // 2))
+    length = _length(n, band)
     order = np.argsort(keys) if counts is None else np.lexsort((keys, -counts))
-    return keys[order[:p]], max(1, p - d)
+    return keys[order[:length]], max(1, _need(n, band) - max(0, length - len(keys)))
 
 
 def elements(s: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
     """Block keys in each band of the set; need is negative in the band above the set's own."""
     n = len(s)
     band = band_of(n)
-    top = _band_top(band)
-    largest = n * 5 // 4
-    keys, need = blocks(s, band, (n + min(largest, top - 1)) // 9)
+    keys, need = blocks(s, band)
     yield keys, need
-    if largest >= top:
-        keys, need = blocks(s, band + 1, (n + largest) // 9)
+    if n * 5 // 4 >= _band_top(band):
+        keys, need = blocks(s, band + 1)
         yield keys, -need
 
 

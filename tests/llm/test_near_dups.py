@@ -133,3 +133,29 @@ def test_shingles_of_short_texts():
     get = lambda t: shingle_set(next(iter(word_hashes([t])))[1])
     assert len(get(b"a b c d")) == 1 and not np.array_equal(get(b"a b c d"), get(b"a b c"))
     assert not np.array_equal(get(b"a b"), get(b"b a"))
+
+
+def test_contained_sets_at_the_threshold():
+    """need never exceeds what sets of different size are sure to share, in each band where both are."""
+    at = lambda n: {b for b in (near_dups.band_of(n), near_dups.band_of(n) + 1) if b == near_dups.band_of(n) or n * 5 // 4 >= near_dups._band_top(b - 1)}
+    for n in [*range(4, 700), 1000, 1279, 1280, 2047, 2048]:
+        for m in {n, -(-4 * n // 5), n - n // 7, n - 1} & {m for m in range(4, n + 1) if 5 * m >= 4 * n}:
+            band = near_dups.band_of(n)
+            assert band in at(m)
+            d = (n + m) // 9
+            sure = -(-(n + m - d) // 2) if band == 0 else min(near_dups._length(n, band), near_dups._length(m, band)) - d
+            assert 1 <= near_dups._need(n, band) <= sure and 1 <= near_dups._need(m, band) <= sure, (n, m)
+
+
+def test_need_of_a_set_that_holds_a_smaller_one():
+    """100 shingles and 80 of them: 10 shared blocks are guaranteed, so 12 must not be asked for."""
+    rng = np.random.default_rng(8)
+    assert next(near_dups.elements(np.unique(rng.integers(0, 2**64 - 1, 100, dtype=np.uint64))))[1] <= 10
+    for n in (65, 100, 125, 150, 200, 500):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 2**64 - 1, n, dtype=np.uint64))
+            b = np.sort(rng.permutation(a)[: -(-4 * n // 5)])
+            band = near_dups.band_of(n)
+            (ka, na), (kb, nb) = near_dups.blocks(a, band), near_dups.blocks(b, band)
+            assert len(np.intersect1d(ka, kb)) >= max(na, nb)
+            assert max(na, nb) <= max(1, min(near_dups._length(n, band), near_dups._length(len(b), band)) - (n + len(b)) // 9)
