@@ -6,7 +6,8 @@ followers) and the next shorter context decides among the bytes not yet excluded
 Statistics are frozen after learning, so all code lengths of all contexts are laid out once in a table, and a text's exact
 code length per language is a sum of table entries.  The shortest code wins.
 
-Learned from a bounded sample: about ``sample`` documents per language, drawn by hash of the text over all rows.
+Learned from a bounded sample: all rows of a language that has at most ``sample``, else about ``sample`` of its distinct
+texts, each once, drawn by hash of the text.
 """
 
 from __future__ import annotations
@@ -115,13 +116,16 @@ def fit(docs: DataFrame, train: Column, sample: int = SAMPLE) -> ContextTrees:
     spark = docs.sparkSession
     scratch = Scratch(spark, "language")
     known = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    texts = known.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: (r["n"], r["m"]) for r in texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("m")).collect()}
     languages = sorted(sizes)
     if not languages:
         return ContextTrees((), np.zeros(256, np.int32), 1, np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
-    shares = spark.createDataFrame([(k, min(1.0, sample / n)) for k, n in sizes.items()], "lang string, share double")
+    shares = spark.createDataFrame([(k, min(1.0, sample / m), n > sample) for k, (n, m) in sizes.items()], "lang string, share double, once boolean")
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(1 << 30)
-    drawn = scratch.write(known.join(F.broadcast(shares), "lang").where(draw < F.col("share")).select("lang", "text"), "sample")
+    met = known.join(F.broadcast(shares), "lang").where(draw < F.col("share")).groupBy("lang", "text").agg(F.count("*").alias("n"), F.first("once").alias("once"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("once"), 1).otherwise(F.col("n")).cast("int")))
+    drawn = scratch.write(met.select("lang", "text", copies).select("lang", "text"), "sample")
     grams = drawn.mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     scratch.drop("sample")
     order = {k: i for i, k in enumerate(languages)}

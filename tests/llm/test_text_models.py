@@ -95,3 +95,13 @@ def test_language_odd_inputs(spark):
     none = language.fit(docs.where("false"), F.lit(True))
     assert {r["lang_pred"] for r in language.predict(docs, none).collect()} == {"und"}
     assert language.predict(docs.where("false"), trees).count() == 0
+
+
+def test_copies_do_not_outweigh_other_texts(spark):
+    """A text in most rows of a large language counts like each other text of it."""
+    others = [f"lorem ipsum number {i} dolor sit" for i in range(60)]
+    copied, schema = "zebra quartz vivid " * 3, "doc_id long, text string, lang string"
+    make = lambda n: spark.createDataFrame([(i, t, "la") for i, t in enumerate(others + [copied] * n)], schema)
+    once, often = (language.fit(make(n), F.lit(True), sample=100) for n in (1, 500))
+    probes = [language._bytes(t) for t in (copied, others[3])]
+    assert np.array_equal(language.code_lengths(probes, once), language.code_lengths(probes, often))
