@@ -10,11 +10,11 @@ from ledgerlark.streaming.refresh import refresh_from_files
 
 
 def stream_refresh(spark, sf_dir):
-    """All claims of the event table arrive as four files, two per micro-batch, and every claim once more."""
+    """All claims of the event table arrive as four files, two per micro-batch, and every claim once more in four further files."""
     root = scratch_path(spark, "stream")
     claims = views.claims_stream(spark, sf_dir)
     claims.repartition(4, "clm_id").write.parquet(f"{root}/claims")
-    claims.coalesce(1).write.mode("append").parquet(f"{root}/claims")
+    claims.repartition(4, "clm_id").write.mode("append").parquet(f"{root}/claims")
     query = refresh_from_files(
         spark,
         f"{root}/claims",
