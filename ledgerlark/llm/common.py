@@ -92,3 +92,16 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def text_groups(texts: list, limit: int = 500_000):
+    """Neighbouring texts in lists of at most ``limit`` characters or bytes in all; a longer text is a list of its own."""
+    group, size = [], 0
+    for t in texts:
+        if group and size + len(t) > limit:
+            yield group
+            group, size = [], 0
+        group.append(t)
+        size += len(t)
+    if group:
+        yield group
