@@ -11,8 +11,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, decontaminate, language, line_dedup, near_dups, packing, quality_model, quality_rules, secret_scan, sharding
-from ledgerlark.llm.common import read_table
+from ledgerlark.llm import alignment, chat, decontaminate, histogram_packing, language, line_dedup, near_dups, packing, periodic_runs
+from ledgerlark.llm import quality_model, quality_rules, secret_scan, sharding
+from ledgerlark.llm.common import read_table, word_array
 
 N_SHARDS = 24
 
@@ -94,6 +95,44 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"))[0]
+
+
+def op12_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), where about a tenth of the texts repeat a stretch of words to their end; chosen and placed by doc_id alone."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), F.when(chosen, word_array(F.col("text"))).alias("words"))
+    n = F.size("words")
+    cut = cut.withColumns({"n": n, "a": F.when(n > 0, F.col("g") % n).cast("int")})
+    cut = cut.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    again = F.slice(F.flatten(F.array_repeat(period, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_dyadic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find_runs(with_planted_runs(read_table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    best = F.col("strongest")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        digest(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"),
+        digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ring_shards": op1_ring_shards,
     "op2_simhash_decontamination": op2_simhash_decontamination,
@@ -105,6 +144,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_identity_alignment": op11_identity_alignment,
+    "op12_shortest_pack_first": op12_shortest_pack_first,
+    "op13_dyadic_runs": op13_dyadic_runs,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
