@@ -6,13 +6,19 @@ keeps at j's splits, and o_j = 1 if the row itself passes them, else 0.  The Sha
     v (o_j - z_j) * integral over q in [0, 1] of  prod_{k != j} (z_k (1 - q) + o_k q)  dq
 
 The integrand is a polynomial whose degree is below the number of features on the path, so a
-Gauss-Legendre rule of half that many points is exact.  Values refer to the mean path length; a short
-path means high risk, so the reported attribution is the negative.
+Gauss-Legendre rule of half that many points is exact.
+
+The row enters by the bits o_k only, and leaves of one small subtree share most of them: the bits of the features on the
+path to the subtree and the outcomes of the tests inside it.  So the tree is walked once for all rows, one comparison a node,
+which leaves each row with a bit pattern per subtree; the subtree's attributions are tabled once per pattern and
+looked up.  Values refer to the mean path length; a short path means high risk, so the reported
+attribution is the negative.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -24,84 +30,161 @@ from ledgerlark.functions.reasons import reason_text
 from ledgerlark.operators.forest import ForestModel, scaled_inputs
 from ledgerlark.schema import MODEL_FEATURES
 
-_ROWS_AT_ONCE = 32
+#: Bits of a tabled pattern.  Leaves with more features on their path are computed for the patterns that rows have.
+TABLE_BITS = 8
+#: Kept tables, in numbers (8 bytes each); what does not fit is built again for every batch of rows.
+TABLE_ROOM = 4_000_000
+_PATTERNS_AT_ONCE = 4096
+
+
+@dataclass
+class Subtree:
+    """Leaves that share a bit pattern: per leaf its value and, per feature on its path, kept share and the bits it has to pass."""
+
+    root: int
+    bits: int
+    leaves: list[tuple[float, dict[int, tuple[float, list[tuple[int, bool]]]]]]
+
+    def table(self, patterns: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """(features, attributions) with one row per feature and one column per pattern."""
+        features = sorted({f for _, path in self.leaves for f in path})
+        row = {f: i for i, f in enumerate(features)}
+        out = np.zeros((len(features), len(patterns)))
+        for value, path in self.leaves:
+            if not path:
+                continue
+            points, weights = np.polynomial.legendre.leggauss((len(path) + 1) // 2)
+            points, weights = (points + 1) / 2, weights / 2
+            kept = np.array([z for z, _ in path.values()])[:, None]
+            passes = np.ones((len(path), len(patterns)))
+            for i, (_, needed) in enumerate(path.values()):
+                for bit, wanted in needed:
+                    passes[i] *= (patterns >> bit & 1) == wanted
+            factor = kept[..., None] * (1 - points) + passes[..., None] * points
+            integral = (factor.prod(axis=0) / factor) @ weights
+            out[[row[f] for f in path]] += value * (passes - kept) * integral
+        return features, out
 
 
 @dataclass
 class LeafPaths:
-    """Per leaf (row) and path slot (column): feature, interval (low, high] and kept share."""
+    """The forest's trees, cut into subtrees of few bits."""
 
-    feature: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    kept: np.ndarray
-    value: np.ndarray
+    model: ForestModel
     features: int
+    subtrees: dict[int, Subtree]
+    base: float
+    tables: dict[int, tuple[list[int], np.ndarray]] = field(default_factory=dict)
+    room: int = TABLE_ROOM
 
     @classmethod
     def of(cls, model: ForestModel, features: int) -> LeafPaths:
-        paths: list[dict] = []
+        tests = np.zeros(len(model.feature), dtype=np.int64)  # below and at each node; children follow their parents
+        for node in range(len(tests) - 1, -1, -1):
+            if model.feature[node] >= 0:
+                tests[node] = 1 + tests[model.left[node]] + tests[model.right[node]]
         values = model.leaf_values() / len(model.roots)
-        kept_values = []
+        subtrees, base = {}, 0.0
+
+        def collect(node: int, bits: dict[int, int]) -> Subtree:
+            made = Subtree(node, len(bits), [])
+            todo = [(node, {f: (z, [(bit, True)]) for f, (bit, z) in bits.items()})]
+            while todo:
+                at, path = todo.pop()
+                f = int(model.feature[at])
+                if f < 0:
+                    made.leaves.append((float(values[at]), path))
+                    continue
+                bit, made.bits = made.bits, made.bits + 1
+                z, needed = path.get(f, (1.0, []))
+                for child, wanted in ((int(model.right[at]), False), (int(model.left[at]), True)):
+                    todo.append((child, {**path, f: (z * float(model.n[child] / model.n[at]), [*needed, (bit, wanted)])}))
+            return made
+
         for root in model.roots:
             todo = [(int(root), {})]
             while todo:
-                node, path = todo.pop()
+                node, bits = todo.pop()
                 f = int(model.feature[node])
-                if f < 0:
-                    paths.append(path)
-                    kept_values.append(values[node])
+                if f < 0 or len(bits) + tests[node] <= TABLE_BITS:
+                    subtrees[node] = made = collect(node, bits)
+                    base += sum(v * float(np.prod([z for z, _ in path.values()])) for v, path in made.leaves)
                     continue
-                low, high, kept = path.get(f, (-np.inf, np.inf, 1.0))
-                cut, n = model.threshold[node], model.n[node]
-                left, right = int(model.left[node]), int(model.right[node])
-                todo.append((left, {**path, f: (low, min(high, cut), kept * model.n[left] / n)}))
-                todo.append((right, {**path, f: (max(low, cut), high, kept * model.n[right] / n)}))
-        width = max(1, max(len(p) for p in paths))
-        shape = (len(paths), width)
-        feature = np.zeros(shape, dtype=np.int64)
-        low, high, kept = np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape)
-        for i, path in enumerate(paths):
-            for j, (f, (a, b, z)) in enumerate(path.items()):
-                feature[i, j], low[i, j], high[i, j], kept[i, j] = f, a, b, z
-        return cls(feature, low, high, kept, np.array(kept_values), features)
+                bit, z = bits.get(f, (len(bits), 1.0))
+                for child in (int(model.right[node]), int(model.left[node])):
+                    todo.append((child, {**bits, f: (bit, z * float(model.n[child] / model.n[node]))}))
+        return cls(model, features, subtrees, base)
 
     def expected(self) -> float:
         """Mean path length of the training sample: the base all attributions start from."""
-        return float((self.value * self.kept.prod(axis=1)).sum())
+        return self.base
+
+    def _patterns(self, x: np.ndarray) -> Iterator[tuple[Subtree, np.ndarray]]:
+        """Each subtree with the pattern of every row (``x``: one row per feature)."""
+        m = self.model
+        for root in m.roots:
+            todo = [(int(root), np.zeros(x.shape[1], dtype=np.uint32), {})]
+            while todo:
+                node, pattern, bits = todo.pop()
+                if (tree := self.subtrees.get(node)) is not None:
+                    inside, bit = [node], len(bits)
+                    while inside:  # in the order in which the bits were given
+                        at = inside.pop()
+                        if (f := int(m.feature[at])) >= 0:
+                            pattern = pattern | (x[f] <= m.threshold[at]).astype(np.uint32) << np.uint32(bit)
+                            bit += 1
+                            inside += [int(m.right[at]), int(m.left[at])]
+                    yield tree, pattern
+                    continue
+                f = int(m.feature[node])
+                left = x[f] <= m.threshold[node]
+                known = f in bits
+                bit = np.uint32(bits.get(f, len(bits)))
+                bits = {**bits, f: int(bit)}
+                for child, goes in ((int(m.right[node]), ~left), (int(m.left[node]), left)):
+                    if known:
+                        own = pattern & ~((~goes).astype(np.uint32) << bit)
+                    else:
+                        own = pattern | goes.astype(np.uint32) << bit
+                    todo.append((child, own, bits))
+
+    def with_tables(self) -> LeafPaths:
+        """Build the tables beforehand, up to their bound, so that they are sent once instead of built by every task."""
+        for tree in self.subtrees.values():
+            if self.room > 0 and tree.bits <= TABLE_BITS and tree.root not in self.tables:
+                self._table(tree)
+        return self
+
+    def _table(self, tree: Subtree) -> tuple[list[int], np.ndarray]:
+        if (entry := self.tables.get(tree.root)) is None:
+            entry = tree.table(np.arange(1 << tree.bits, dtype=np.uint32))
+            if entry[1].size <= self.room:
+                self.room -= entry[1].size
+                self.tables[tree.root] = entry
+        return entry
 
     def shapley(self, x: np.ndarray) -> np.ndarray:
         """(rows, features) attributions of the mean path length."""
-        width = self.feature.shape[1]
-        points, weights = np.polynomial.legendre.leggauss((width + 1) // 2 + 1)
-        points, weights = (points + 1) / 2, weights / 2
-        onto = [
-            np.eye(self.features)[self.feature[:, d]] for d in range(width)
-        ]  # slot d of every leaf -> feature column
-        out = np.zeros((len(x), self.features))
-        for start in range(0, len(x), _ROWS_AT_ONCE):
-            part = x[start : start + _ROWS_AT_ONCE]
-            inside = [
-                ((part[:, self.feature[:, d]] > self.low[:, d]) & (part[:, self.feature[:, d]] <= self.high[:, d])).astype(float)
-                for d in range(width)
-            ]
-            integral = [np.zeros((len(part), len(self.value))) for _ in range(width)]
-            for q, w in zip(points, weights):
-                factor = [self.kept[:, d] * (1 - q) + inside[d] * q for d in range(width)]
-                whole = factor[0].copy()
-                for f in factor[1:]:
-                    whole *= f
-                for d in range(width):
-                    integral[d] += w * (whole / factor[d])
-            for d in range(width):
-                share = self.value * (inside[d] - self.kept[:, d]) * integral[d]
-                out[start : start + len(part)] += share @ onto[d]
-        return out
+        out = np.zeros((self.features, len(x)))
+        for tree, pattern in self._patterns(np.ascontiguousarray(x.T)):
+            if tree.bits <= TABLE_BITS:
+                features, values = self._table(tree)
+                at = pattern.astype(np.intp)
+                for f, v in zip(features, values, strict=True):
+                    out[f] += v[at]
+                continue
+            distinct, at = np.unique(pattern, return_inverse=True)
+            for start in range(0, len(distinct), _PATTERNS_AT_ONCE):
+                features, values = tree.table(distinct[start : start + _PATTERNS_AT_ONCE])
+                mine = np.flatnonzero((at >= start) & (at < start + _PATTERNS_AT_ONCE))
+                for f, v in zip(features, values, strict=True):
+                    out[f, mine] += v[at[mine] - start]
+        return out.T
 
 
 def shapley_column(spark: SparkSession, model: ForestModel) -> Column:
     """Array of risk attributions, in model feature order, from the raw feature columns."""
-    shared = spark.sparkContext.broadcast(LeafPaths.of(model, len(MODEL_FEATURES)))
+    shared = spark.sparkContext.broadcast(LeafPaths.of(model, len(MODEL_FEATURES)).with_tables())
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def shap(*cols: pd.Series) -> pd.Series:

@@ -101,11 +101,10 @@ def _brute_shapley(model, x, width):
     return out
 
 
-def test_shapley_values_equal_the_definition():
-    rng = np.random.default_rng(3)
-    width, parts = 4, []
-    for tree in range(3):
-        nodes = forest.grow_tree(rng.normal(size=(40, width)), np.random.default_rng(tree), 5)
+def _random_forest(rng, width, trees, sample, depth):
+    parts = []
+    for tree in range(trees):
+        nodes = forest.grow_tree(rng.normal(size=(sample, width)), np.random.default_rng(tree), depth)
         base = sum(len(p) for p in parts)
         nodes["left"] += base
         nodes["right"] += base
@@ -114,17 +113,62 @@ def test_shapley_values_equal_the_definition():
 
     roots = np.cumsum([0] + [len(p) for p in parts[:-1]])
     pdf = pd.concat(parts, ignore_index=True)
-    m = forest.ForestModel(
+    return forest.ForestModel(
         roots, *(pdf[c].to_numpy() for c in ("feature", "threshold", "left", "right")), pdf["n"].to_numpy(float), pdf["depth"].to_numpy(float), {}, {}
     )
+
+
+@pytest.mark.parametrize("bits,room", [(8, 10**6), (8, 0), (3, 10**6), (0, 10**6)])
+def test_shapley_values_equal_the_definition(monkeypatch, bits, room):
+    monkeypatch.setattr(attribution, "TABLE_BITS", bits)
+    monkeypatch.setattr(attribution, "_PATTERNS_AT_ONCE", 2)
+    rng = np.random.default_rng(3)
+    width = 4
+    m = _random_forest(rng, width, 3, 40, 5)
     x = rng.normal(size=(5, width))
     paths = attribution.LeafPaths.of(m, width)
+    paths.room = room
+    assert (paths.shapley(x) == paths.shapley(x)).all()  # tables built, then read
     got = paths.shapley(x)
     for i in range(len(x)):
         assert np.allclose(got[i], _brute_shapley(m, x[i], width))
     assert np.allclose(got.sum(axis=1) + paths.expected(), m.path_length(x))
 
 
+def _leaf_by_leaf(model, x, width):
+    """The formula as it stands: every leaf, every row, by quadrature with points to spare."""
+    values = model.leaf_values() / len(model.roots)
+    points, weights = np.polynomial.legendre.leggauss(width + 2)
+    points, weights = (points + 1) / 2, weights / 2
+    out = np.zeros((len(x), width))
+    for root in model.roots:
+        todo = [(int(root), {})]
+        while todo:
+            node, path = todo.pop()
+            f = int(model.feature[node])
+            if f >= 0:
+                z, o = path.get(f, (1.0, np.ones(len(x), dtype=bool)))
+                for child, passes in ((model.left[node], x[:, f] <= model.threshold[node]), (model.right[node], x[:, f] > model.threshold[node])):
+                    todo.append((int(child), {**path, f: (z * model.n[child] / model.n[node], o & passes)}))
+                continue
+            for j, (z, o) in path.items():
+                rest = np.ones((len(x), len(points)))
+                for k, (zk, ok) in path.items():
+                    if k != j:
+                        rest *= zk * (1 - points) + ok[:, None] * points
+                out[:, j] += values[node] * (o - z) * (rest @ weights)
+    return out
+
+
+@pytest.mark.parametrize("width,sample,depth", [(18, 256, 8), (18, 2000, 14), (3, 256, 8), (1, 16, 4)])
+def test_shapley_values_of_a_forest_equal_the_formula(width, sample, depth):
+    rng = np.random.default_rng(width + depth)
+    m = _random_forest(rng, width, 4, sample, depth)
+    x = rng.normal(size=(70, width))
+    assert np.abs(attribution.LeafPaths.of(m, width).shapley(x) - _leaf_by_leaf(m, x, width)).max() < 1e-9
+    assert attribution.LeafPaths.of(m, width).shapley(x[:0]).shape == (0, width)
+
+
 def test_attributions_add_up(spark, features, model):
     rows = features.select(*KEYS, attribution.shapley_column(spark, model).alias("phi"), *[c.alias(f"z{i}") for i, c in enumerate(forest.scaled_inputs(model))]).limit(40).collect()
     base = attribution.LeafPaths.of(model, len(MODEL_FEATURES)).expected()
