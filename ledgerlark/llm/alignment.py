@@ -88,7 +88,9 @@ class Vocabularies:
             if x and (x not in of_bytes or b.is_byte(of_bytes[x]) and not b.is_byte(i)):
                 of_bytes[x] = i
         self.same = np.array([of_bytes.get(x, -1) if x else -1 for x in self.bytes_a], dtype=np.int64)
-        self.identity_text = np.array([f"{i}|{j}" for i, j in enumerate(self.same.tolist())], dtype=object)
+        # Ids as text with what follows them: within a group, at the end of its part, and at the end of the text.
+        ids = range(max(len(self.bytes_a), len(self.bytes_b)))
+        self.comma, self.bar, self.semicolon = (np.array([b"%d%s" % (i, sign) for i in ids], dtype=object) for sign in (b",", b"|", b";"))
 
     def _parts(self, text: str) -> Iterator[str]:
         """Parts that start at a single space after the first one: no token of either vocabulary crosses into such a space."""
@@ -105,15 +107,17 @@ class Vocabularies:
         """Ids of A and of B for a space and the text; None where the tokens do not spell that out."""
         spaced, a, b = " " + text, [], []
         for part in self._parts(spaced):
-            if self.fast_a is not None and SETTLED.fullmatch(part):
-                a += self.fast_a.encode_ordinary(part)
+            if self.fast_a is not None and SETTLED.fullmatch(part):  # whole bytes by construction
+                a.append(np.array(self.fast_a.encode_ordinary(part), dtype=np.int64))
             else:
-                a += self.exact_a.encode(part, add_special_tokens=False).ids
+                ids = self.exact_a.encode(part, add_special_tokens=False).ids
+                if b"".join(map(self.bytes_a.__getitem__, ids)) != part.encode():
+                    return None
+                a.append(np.array(ids, dtype=np.int64))
             b += self.model_b.encode(part[1:])  # this one adds the space itself
-        raw = spaced.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+        if b"".join(map(self.bytes_b.__getitem__, b)) != spaced.encode():
             return None
-        return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        return np.concatenate(a), np.array(b, dtype=np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -151,11 +155,16 @@ def align_text(v: Vocabularies, text: str | None) -> dict | None:
     n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
     first_a, first_b = last_a - n_a + 1, last_b - n_b + 1
     identity = (n_a == 1) & (n_b == 1) & (v.same[a[last_a]] == b[last_b])
-    written = v.identity_text[a[last_a]]
+    # The groups as text: tokens A of a group stand after all tokens of the groups before it, tokens B after these.
+    written = np.empty(len(a) + len(b), dtype=object)
+    place = np.arange(len(a)) + np.repeat(first_b, n_a)
+    written[place] = v.comma[a]
+    written[place[last_a]] = v.bar[a[last_a]]
+    place = np.arange(len(b)) + np.repeat(last_a + 1, n_b)
+    written[place] = v.comma[b]
+    written[place[last_b]] = v.semicolon[b[last_b]]
+    groups = b"".join(written.tolist())[:-1]
     rest = np.flatnonzero(~identity)
-    list_a, list_b = a.tolist(), b.tolist()
-    for i, x, nx, y, ny in zip(*(c.tolist() for c in (rest, first_a[rest], n_a[rest], first_b[rest], n_b[rest])), strict=True):
-        written[i] = ",".join(map(str, list_a[x : x + nx])) + "|" + ",".join(map(str, list_b[y : y + ny]))
     same_a, same_n = np.unique(a[last_a[identity]], return_counts=True)
     pair, pair_n = _linked(a, b, first_a[rest], n_a[rest], first_b[rest], n_b[rest])
     mapped = v.same[pair >> _B_BITS] == (pair & ((1 << _B_BITS) - 1))  # a mapped pair inside a larger group
@@ -165,14 +174,14 @@ def align_text(v: Vocabularies, text: str | None) -> dict | None:
         same_n = np.bincount(inverse, np.concatenate([same_n, pair_n[mapped]])).astype(np.int64)
         pair, pair_n = pair[~mapped], pair_n[~mapped]
     return {
-        "n_a": len(a), "n_b": len(b), "n_groups": len(last_a), "n_links": int(np.sum(n_a * n_b)), "groups": ";".join(written.tolist()),
+        "n_a": len(a), "n_b": len(b), "n_groups": len(last_a), "n_links": int(np.sum(n_a * n_b)), "groups": groups,
         "same_a": same_a, "same_n": same_n, "pair_a": pair >> _B_BITS, "pair_b": pair & ((1 << _B_BITS) - 1), "pair_n": pair_n,
     }
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _LISTS = ("same_a", "same_n", "pair_a", "pair_b", "pair_n")
-_NOTHING = dict.fromkeys(_COUNTS, 0) | dict.fromkeys(_LISTS, np.zeros(0, dtype=np.int64)) | {"groups": ""}
+_NOTHING = dict.fromkeys(_COUNTS, 0) | dict.fromkeys(_LISTS, np.zeros(0, dtype=np.int64)) | {"groups": b""}
 
 
 def _align(batches: Iterator[pa.RecordBatch], path_a: str | None, path_b: str | None, with_groups: bool) -> Iterator[pa.RecordBatch]:
@@ -181,7 +190,7 @@ def _align(batches: Iterator[pa.RecordBatch], path_a: str | None, path_b: str |
         at = 0
         for group in text_groups([t or "" for t in rb.column(1).to_pylist()]):
             rows = [align_text(v, t) or _NOTHING for t in group]
-            digest = [hashlib.sha256(r["groups"].encode()).hexdigest() if r["groups"] else "" for r in rows]
+            digest = [hashlib.sha256(r["groups"]).hexdigest() if r["groups"] else "" for r in rows]
             cols = [
                 rb.column(0).slice(at, len(group)),
                 *(pa.array([r[c] for r in rows], pa.int64()) for c in _COUNTS),
@@ -189,7 +198,7 @@ def _align(batches: Iterator[pa.RecordBatch], path_a: str | None, path_b: str |
                 *(pa.array([r[c].astype(np.int32) for r in rows], pa.list_(pa.int32())) for c in _LISTS),
             ]
             if with_groups:
-                cols.append(pa.array([r["groups"] for r in rows], pa.string()))
+                cols.append(pa.array([r["groups"].decode() for r in rows], pa.string()))
             at += len(group)
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *_COUNTS, "groups_sha256", *_LISTS, *(["groups"] if with_groups else [])])
 
