@@ -1,31 +1,35 @@
-"""Benchmark decontamination: item-sized windows, rare shingles, exact weighted-shingle similarity, SimHash distance.
+"""Benchmark decontamination: item-sized windows, SimHash, multi-index Hamming blocks, exact weighted-shingle similarity.
 
 * Windows.  A window has as many words as a benchmark item and is laid where it shares a five-word shingle with an
   item of that size, at the item's own alignment (kept inside the text).  A window without a shared
   shingle has similarity 0, so none that could be reported is left out.
-* Search.  A window that reaches the threshold lacks less of an item than the threshold leaves, so it holds one of
-  the item's rarest shingles, taken up to one occurrence more than it may lack.  Joining on (size, shingle)
-  therefore finds every item of the size that can be reported.
-* Fingerprints.  A window's 64-bit SimHash is taken over its words, each as often as it occurs.  Its distance to the
-  item's is reported; it excludes nothing, because at similarity 0.8 it has no upper bound.
+* Fingerprints.  A window's 64-bit SimHash is taken over its words, each as often as it occurs.
+* Search.  The 64 bits are cut into 4 blocks of 16.  Of two fingerprints within 4 m + 3 bits, one block differs in m bits at
+  most.  So an item is listed under every value within m bits of each of its blocks, a window under its own four values, and
+  joining on (size, block, value) finds every item of the size within the radius.
 * Verification.  Shingles weigh as often as they occur; similarity is the sum of the smaller weights over the sum
   of the larger ones, computed exactly, and has to reach the threshold.
 
+Windows beyond the radius are not reported, whatever their similarity; README gives the measured recall.
 Words are maximal runs of letters and digits in lower case, so punctuation and case do not hide a copy.
 Everything is DataFrame expressions; texts stay in the scan, only windows with a shared shingle leave it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import Scratch, with_row_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Largest SimHash distance that is reported: any.
-RADIUS = 64
+BLOCK_BITS = 16
+BLOCKS = 64 // BLOCK_BITS
+#: Bits in which an item's listed block values may differ from its own (2,517 values a block).
+BLOCK_RADIUS = 4
+#: All fingerprints within this distance are found.
+RADIUS = BLOCKS * BLOCK_RADIUS + BLOCKS - 1
 BROADCAST_ROWS = 500_000
 
 
@@ -51,15 +55,16 @@ def with_fingerprint(df: DataFrame, array: str) -> DataFrame:
     return hashed.withColumn("fp", fp).drop("_h")
 
 
-def _rare_shingles(items: DataFrame, similarity: float) -> DataFrame:
-    """(item_id, w, item_fp, h): the shingles of an item of which a window within ``similarity`` holds one at least."""
-    held = items.select("item_id", "w", "item_shingles", F.col("fp").alias("item_fp"), F.explode(F.array_distinct("item_shingles")).alias("h"))
-    known = held.groupBy("w", "h").agg(F.count("*").alias("among")).withColumnsRenamed({"w": "w_", "h": "h_"})
-    times = F.size(F.filter("item_shingles", lambda x: x == F.col("h")))
-    ranked = held.withColumn("times", times).join(known, (F.col("w") == F.col("w_")) & (F.col("h") == F.col("h_")))
-    before = Window.partitionBy("item_id", "w", "item_shingles").orderBy("among", "h").rowsBetween(Window.unboundedPreceding, -1)
-    may_lack = F.floor((1 - similarity) * F.size("item_shingles") + 1e-6)
-    return ranked.withColumn("before", F.coalesce(F.sum("times").over(before), F.lit(0))).where(F.col("before") <= may_lack).select("item_id", "w", "item_fp", "h")
+def _blocks(df: DataFrame) -> DataFrame:
+    """One row per block of the fingerprint: (..., block, value)."""
+    value = [F.shiftrightunsigned("fp", BLOCK_BITS * j).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) for j in range(BLOCKS)]
+    return df.select("*", F.posexplode(F.array(*value)).alias("block", "value"))
+
+
+def _neighbours(df: DataFrame) -> DataFrame:
+    """Each block row once for every value within ``BLOCK_RADIUS`` bits of its own."""
+    flips = df.sparkSession.range(1 << BLOCK_BITS).where(F.bit_count("id") <= BLOCK_RADIUS).agg(F.collect_list("id")).scalar()
+    return df.withColumn("_flip", flips).withColumn("_flip", F.explode("_flip")).withColumn("value", F.col("value").bitwiseXOR(F.col("_flip"))).drop("_flip")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -73,7 +78,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     ``docs``: doc_id, text; ``benchmark``: item_id, text; other columns are not read.  Only contaminated documents
     come back.  Items of fewer than five words cannot be told from ordinary text and match nothing; null and empty
     texts match nothing.  Of equally similar windows the first counts.  Repeated rows are reported once (they
-    share a row key); repeated items once per item_id.
+    share a row key); repeated items once per item_id.  An empty table on either side gives an empty result; a very long
+    text gives one row per window that shares a shingle, and no other row leaves its scan.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
@@ -96,11 +102,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     )
     windows = scratch.write(placed.distinct(), "windows")
 
-    marked = with_fingerprint(windows, "window").where(F.size("window") >= SHINGLE)
-    marked = marked.select("doc_id", "_rk1", "_rk2", "w", "start", "fp", F.explode(F.array_distinct(_shingles("window"))).alias("h"))
-    index = scratch.write(_rare_shingles(items, similarity), "index")
+    marked = _blocks(with_fingerprint(windows, "window").select("doc_id", "_rk1", "_rk2", "w", "start", "fp"))
+    listed = _neighbours(_blocks(items.select("item_id", "w", "fp").distinct())).withColumnRenamed("fp", "item_fp")
+    index = scratch.write(listed, "index")
+    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     near = (
-        marked.join(_small(index), ["w", "h"]).withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
+        marked.join(_small(index), ["w", "block", "value"]).withColumn("distance", distance).where(F.col("distance") <= RADIUS)
         .select("doc_id", "_rk1", "_rk2", "w", "start", "item_id", "distance").distinct()
     )
     at_window = ["_rk1", "_rk2", "w", "start"]
@@ -122,7 +129,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
+    """``docs`` without the rows that hold a benchmark item.
+
+    All columns stay, also such that clash with names used here.  Rows without text stay, repeated rows go or stay together, and an empty
+    benchmark leaves everything.
+    """
     scratch = Scratch(docs.sparkSession, "decontaminate")
     keys = scratch.write(find_contamination(docs, benchmark, similarity).select("_rk1", "_rk2").distinct(), "rows")
     return with_row_key(docs, "doc_id", "text").join(_small(keys), ["_rk1", "_rk2"], "left_anti").select(*docs.columns)
