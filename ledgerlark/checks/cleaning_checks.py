@@ -131,15 +131,11 @@ def src_load_log(spark, sf_dir):
 
 
 def _profile(spark, sf_dir):
-    root = raw_zone(spark, sf_dir)
-    found = {(r["sample"], r["file_name"]): r["location"] for r in raw.discover(spark, f"{root}/csv").collect()}
+    root, specs = raw_zone(spark, sf_dir), quality.expected_specs()
+    found = [(r["sample"], r["file_name"], r["location"]) for r in raw.discover(spark, f"{root}/csv").collect()]
+    groups = raw.group_files(spark, [f for f in found if f[:2] in specs])
     return quality.stack_profiles(
-        spark,
-        [
-            quality.file_profile(raw.read_csv(spark, found[key]), *key, spec)
-            for key, spec in quality.expected_specs().items()
-            if key in found
-        ],
+        spark, [quality.group_profiles(g.read(spark), g.columns, specs, [f[:2] for f in g.files]) for g in groups]
     )
 
 

@@ -8,11 +8,12 @@ from ledgerlark.checks.support import BENE, CLAIMS_DENSE, CLAIMS_STREAM, OUTPATI
 from ledgerlark.checks import feature_checks as fc
 from ledgerlark.operators import features as fx
 from ledgerlark.operators import increments as inc
-from ledgerlark.operators.merge import replace_by_key
 from ledgerlark.operators.pairs import claim_pairs
 from ledgerlark.operators.ranking import first_per_key
-from ledgerlark.session import materialise
+from ledgerlark.session import scratch_path
 from ledgerlark.sources import sample_views as views
+from ledgerlark.sources.claim_state import PROVIDER_BUCKET, ClaimState
+from ledgerlark.sources.tables import replace_rows
 
 POSITION = "2024-01-10"
 SIZE = 2000
@@ -49,14 +50,18 @@ def inc_late_rows(spark, sf_dir):
 
 
 def inc_refresh(spark, sf_dir):
-    """Features as of a position, refreshed for the providers active after it; equals a full refresh
-    wherever a provider has a claim in the batch."""
+    """Two batches of claims, the second one dated after a position: each adds its cells, then the features of the providers
+    it names are folded from all cells and replaced.  Equals a full refresh wherever a provider has a claim in the second batch."""
     claims = views.claims_dense(spark, sf_dir)
     bene, op = views.bene(spark, sf_dir), views.outpatient(spark, sf_dir)
-    before = claims.filter("clm_from_dt <= date'2000-12-31'")
-    old = fx.provider_year_features(before, bene, op, batch_id=1)
-    new = materialise(fx.provider_year_features(claims, bene, op, batch_id=2, start="2000-12-31", end="2002-12-31"), "refreshed")
-    return snap_all(replace_by_key(old, new, ["at_physn_npi", "period_year"]))
+    root = scratch_path(spark, "refresh")
+    state = ClaimState(spark, f"{root}/state")
+    for number, dates in ((1, "clm_from_dt <= date'2000-12-31'"), (2, "clm_from_dt > date'2000-12-31'")):
+        batch = claims.filter(dates)
+        state.absorb(batch, number, with_keys=False)
+        rows = state.features(state.active(batch), bene, op, number)
+        replace_rows(rows, f"{root}/features", ["at_physn_npi", "period_year"], ["period_year", PROVIDER_BUCKET])
+    return snap_all(spark.read.parquet(f"{root}/features").drop(PROVIDER_BUCKET))
 
 
 def dup_claim_pairs(spark, sf_dir):

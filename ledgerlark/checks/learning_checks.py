@@ -10,7 +10,9 @@ from ledgerlark.checks.support import once_per_session, snap, snap_all, sql_snap
 from ledgerlark.operators import inject as inj
 from ledgerlark.operators import supervised as sup
 from ledgerlark.schema import MODEL_FEATURES
+from ledgerlark.session import scratch_path
 from ledgerlark.sources import sample_views as views
+from ledgerlark.sources.tables import table_exists
 
 # Codes of the test tables that stand in for the real pairs.
 CODES = {"ECONOMY": "STANDARD", "PROMO": "LARGE"}
@@ -104,25 +106,56 @@ def sup_metrics_by_scenario(spark, sf_dir):
     return snap_all(sup.metrics_by_scenario(_stand_in(spark, sf_dir)))
 
 
-def _fitted(spark, sf_dir):
-    """The full boosted model, its scaler, and the split rows."""
+#: Floors on the training rows: a model that gives every row the same probability, or ignores the injected labels, falls below them.
+AUC_FLOOR, RECALL_FLOOR = 0.9, 0.9
+
+
+def boosted_model(spark, sf_dir) -> sup.BoostedModel:
+    """The full boosted model over the split rows: trained once in a session and stored as tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS or not table_exists(spark, f"{_MODELS[key]}/nodes/current"):
+        path = scratch_path(spark, "boosted")
+        rows = once_per_session(spark, sf_dir, "split", lambda: _split(spark, sf_dir))
+        sup.save_model(spark, sup.train(rows), path)
+        _MODELS[key] = path
+    return sup.load_model(spark, _MODELS[key])
+
+
+_MODELS: dict[tuple, str] = {}
+
+
+def _scored(spark, sf_dir):
+    """All split rows with the stored model's probability and whether they were held out."""
     rows = once_per_session(spark, sf_dir, "split", lambda: _split(spark, sf_dir))
-    return (*sup.train(rows), rows)
+    scored = sup.predict(boosted_model(spark, sf_dir), rows)
+    return scored.join(rows.select("at_physn_npi", "scenario", "is_test"), ["at_physn_npi", "scenario"])
 
 
 def sup_gbt(spark, sf_dir):
-    """Held-out rows scored by the boosted model: labels, and whether the probability is one."""
-    model, scaler, rows = _fitted(spark, sf_dir)
-    scored = sup.predict(model, scaler, rows.filter("is_test"))
-    return scored.select("at_physn_npi", "scenario", "label", F.col("prob").between(0, 1).alias("prob_in_range"))
+    """Held-out rows scored by the boosted model: labels, whether the probability is one and is not that of every row."""
+    scored = sup.predict(boosted_model(spark, sf_dir), once_per_session(spark, sf_dir, "split", lambda: _split(spark, sf_dir)).filter("is_test"))
+    spread = scored.agg(F.max("prob") - F.min("prob")).scalar()
+    return scored.select("at_physn_npi", "scenario", "label", (F.col("prob").between(0, 1) & (spread > 0.01)).alias("prob_in_range"))
+
+
+def sup_quality(spark, sf_dir):
+    """What the model has learned, per scenario of its training rows: whether it finds the injected labels at the cut, and whether the
+    area under the curve is above its floor.  A scenario without a label, or without a row of the other class, has nothing to miss."""
+    own = sup.metrics_by_scenario(_scored(spark, sf_dir).filter("NOT is_test"))
+    return own.select(
+        "scenario",
+        "anomalies",
+        ((F.col("recall") >= RECALL_FLOOR) | (F.col("anomalies") == 0)).alias("recall_above_floor"),
+        F.coalesce(F.col("auc_roc") >= AUC_FLOOR, F.lit(True)).alias("auc_above_floor"),
+    )
 
 
 def sup_importances(spark, sf_dir):
-    """Per model input: whether its importance is a share, and whether the shares add up to one."""
-    model, scaler, _ = _fitted(spark, sf_dir)
-    rows = sup.importances(model, scaler)
-    total = rows.agg(F.sum("importance").alias("t")).select("t").scalar()
-    return rows.select("feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("adds_up"))
+    """Per model input: whether its importance is a share, whether the shares add up to one, and whether the inputs that no scenario
+    changes all stay below the most important one."""
+    rows = sup.importances(spark, boosted_model(spark, sf_dir))
+    total, top = rows.agg(F.sum("importance")).scalar(), rows.agg(F.max("importance")).scalar()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("is_share"), ((F.abs(total - 1) < 1e-9) & (top < 1)).alias("adds_up"))
 
 
 QUERIES = {
@@ -142,6 +175,7 @@ QUERIES = {
         sup_auc,
         sup_metrics_by_scenario,
         sup_gbt,
+        sup_quality,
         sup_importances,
     )
 }
@@ -237,6 +271,9 @@ ORACLE = {
     " <= floor(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE + 0.5) AS is_test FROM one",
     "sup_gbt": f"WITH {SCENARIOS}, {_ONE}, s AS (SELECT at_physn_npi, scenario, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:split:' || at_physn_npi || ':' || scenario), at_physn_npi, scenario)"
     " <= floor(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE + 0.5) AS is_test FROM one) SELECT at_physn_npi, scenario, label, true AS prob_in_range FROM s WHERE is_test",
+    "sup_quality": f"WITH {SCENARIOS}, {_ONE}, s AS (SELECT at_physn_npi, scenario, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:split:' || at_physn_npi || ':' || scenario), at_physn_npi, scenario)"
+    " <= floor(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE + 0.5) AS is_test FROM one) SELECT scenario, count(*) FILTER (label = 1) AS anomalies,"
+    " true AS recall_above_floor, true AS auc_above_floor FROM s WHERE NOT is_test GROUP BY scenario",
     "sup_importances": "SELECT feature, true AS is_share, true AS adds_up FROM (VALUES " + ", ".join(f"('{c}')" for c in MODEL_FEATURES) + ") AS f(feature)",
     "sup_metrics": f"WITH {SCENARIOS}, {_PROB}, c AS (SELECT {_COUNTS} FROM preds), a AS ({_auc('')}) SELECT {sql_snap('auc')} AS auc_roc, {_PRF}, tp, fp, fn, tn FROM c, a",
     "sup_report": f"""WITH {SCENARIOS}, {_PROB}, c AS (SELECT {_COUNTS} FROM preds),

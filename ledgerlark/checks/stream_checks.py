@@ -26,7 +26,7 @@ def stream_refresh(spark, sf_dir):
         max_files=2,
     )
     query.awaitTermination()
-    return snap_all(spark.read.parquet(f"{root}/features").drop("batch_id"))
+    return snap_all(spark.read.parquet(f"{root}/features").drop("batch_id", "provider_bucket"))
 
 
 QUERIES = {"stream_refresh": stream_refresh}

@@ -119,6 +119,17 @@ def amount_cells(claims: DataFrame) -> DataFrame:
     )
 
 
+def add_cells(cells: DataFrame) -> DataFrame:
+    """Claim cells of several batches as one row per cell."""
+    return cells.groupBy(PROVIDER, "desynpuf_id", "primary_hcpcs_cd", "day").agg(F.sum("cnt").alias("cnt")).withColumn(YEAR, F.year("day"))
+
+
+def add_amounts(amount: DataFrame) -> DataFrame:
+    """Amount cells of several batches as one row per cell."""
+    sums = [F.sum(c).alias(c) for c in ("cnt", "charge_cents", "charge_n", "allowed_cents", "allowed_n")]
+    return amount.groupBy(PROVIDER, YEAR, "place_of_service_cd", "ratio").agg(*sums)
+
+
 # --- single branches -----------------------------------------------------------------------------
 
 
@@ -278,8 +289,13 @@ def provider_year_features(
         active = materialise(active_providers(claims, start or FULL_START, end or FULL_END), "active-providers")
         claims = keep_providers(claims, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
         outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
+    return features_of_cells(claim_cells(claims), amount_cells(claims), bene, outpatient, batch_id, death_any_year)
+
 
-    cells = claim_cells(claims)
+def features_of_cells(
+    cells: DataFrame, amount: DataFrame, bene: DataFrame, outpatient: DataFrame, batch_id: int = 0, death_any_year: bool = False
+) -> DataFrame:
+    """All features from ``claim_cells`` and ``amount_cells``, which may come from stored tables."""
     days = day_counts(cells)
     benes = beneficiary_counts(cells)
     dups = duplicate_days(cells)
@@ -334,7 +350,7 @@ def provider_year_features(
 
     claims_n = F.col("bene_cnt")
     per_bene = F.when(F.col("bene_row") > 0, claims_n / F.col("bene_row")).otherwise(0.0)
-    joined = folded.join(amounts(amount_cells(claims)), KEYS, "left").join(code_mix(cells), KEYS, "left")
+    joined = folded.join(amounts(amount), KEYS, "left").join(code_mix(cells), KEYS, "left")
     # At most one row per year and provider.  The row before counts only if it is the year before.
     years = Window.partitionBy(PROVIDER).orderBy(YEAR)
     prior = F.when(F.lag(YEAR).over(years) == F.col(YEAR) - 1, F.lag("bene_cnt").over(years)).otherwise(0)

@@ -23,19 +23,24 @@ def _day(value: str | Column) -> Column:
     return F.lit(value).cast("date") if isinstance(value, str) else value
 
 
-def day_table(claims: DataFrame, position: str | Column = SEED_POSITION) -> DataFrame:
-    """Claims per day after the position, with the running total before each day."""
+def counts_by_day(claims: DataFrame) -> DataFrame:
+    """(day, cnt): the table that decides where batches end; it can be kept and added to instead of counted again."""
+    return claims.filter(F.col("clm_from_dt").isNotNull()).groupBy(F.col("clm_from_dt").alias("day")).agg(F.count("*").alias("cnt"))
+
+
+def running_days(days: DataFrame, position: str | Column = SEED_POSITION) -> DataFrame:
+    """Claims per day after the position, with the running total before each day.  ``days`` may hold several counts of a day."""
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        dated_between(claims, position)
-        .groupBy(F.col("clm_from_dt").alias("day"))
-        .agg(F.count("*").alias("cnt"))
+        days.filter(F.col("day") > _day(position))
+        .groupBy("day")
+        .agg(F.sum("cnt").alias("cnt"))
         .withColumn("before", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
     )
 
 
-def batch_window(
-    claims: DataFrame, position: str | Column = SEED_POSITION, size: int = BATCH_SIZE, last_batch: int = 0
+def window_of_days(
+    days: DataFrame, position: str | Column = SEED_POSITION, size: int = BATCH_SIZE, last_batch: int = 0
 ) -> DataFrame:
     """One row: old position (exclusive), new position (inclusive), claims in the batch, batch id.
 
@@ -43,7 +48,7 @@ def batch_window(
     batch cannot miss the rest of it.  Without new claims there is no row.
     """
     return (
-        day_table(claims, position)
+        running_days(days, position)
         .filter(F.col("before") < size)
         .agg(F.max("day").alias("batch_end"), F.sum("cnt").alias("claims"))
         .filter(F.col("batch_end").isNotNull())
@@ -53,6 +58,18 @@ def batch_window(
     )
 
 
+def day_table(claims: DataFrame, position: str | Column = SEED_POSITION) -> DataFrame:
+    """``running_days`` straight from claims."""
+    return running_days(counts_by_day(dated_between(claims, position)), position)
+
+
+def batch_window(
+    claims: DataFrame, position: str | Column = SEED_POSITION, size: int = BATCH_SIZE, last_batch: int = 0
+) -> DataFrame:
+    """``window_of_days`` straight from claims."""
+    return window_of_days(counts_by_day(dated_between(claims, position)), position, size, last_batch)
+
+
 def next_batch(claims: DataFrame, position: str | Column = SEED_POSITION, size: int = BATCH_SIZE) -> DataFrame:
     """The claims of the next batch: dates in (position, end of batch]."""
     end = batch_window(claims, position, size).select("batch_end").scalar()

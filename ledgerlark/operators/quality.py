@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,6 +114,43 @@ def file_profile(file: DataFrame, sample: str, file_name: str, spec: FileSpec) -
     )
 
 
+def group_profiles(rows: DataFrame, columns: Sequence[str], specs: dict[tuple[str, str], FileSpec], files: Sequence[tuple[str, str]]) -> DataFrame:
+    """``file_profile`` of many files with the same columns by one aggregate.
+
+    ``rows`` carries ``_sample`` and ``_file``; ``files`` names the (sample, file) among them, so that files without rows count too.
+    """
+    spark = rows.sparkSession
+    have = {c.strip().lower(): c for c in columns}
+    mine = {key: specs[key] for key in files if key in specs}
+    wanted = sorted({c for spec in mine.values() for c in (*spec.required, *spec.keys)})
+    counts = rows.groupBy(F.col("_sample").alias("sample"), F.col("_file").alias("file_name")).agg(
+        F.count("*").alias("rows"),
+        F.map_from_arrays(
+            F.array(*[F.lit(c) for c in wanted]).cast("array<string>"),
+            F.array(*[F.count(F.col(f"`{have[c]}`") if c in have else F.lit(None)) for c in wanted]).cast("array<bigint>"),
+        ).alias("filled"),
+    )
+    needed = [
+        (s, f, [(c, c in spec.required, c in spec.keys, c in have) for c in dict.fromkeys([*spec.required, *spec.keys])])
+        for (s, f), spec in mine.items()
+    ]
+    listed = spark.createDataFrame(
+        needed, "sample string, file_name string, needed array<struct<column: string, required: boolean, key: boolean, present: boolean>>"
+    )
+    filled = lambda c: F.coalesce(F.try_element_at("filled", c["column"]), F.lit(0))
+    return listed.join(counts, ["sample", "file_name"], "left").select(
+        "sample",
+        "file_name",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.transform(
+            "needed",
+            lambda c: F.struct(
+                c["column"].alias("column"), c["required"].alias("required"), c["key"].alias("key"), c["present"].alias("present"), filled(c).alias("filled")
+            ),
+        ).alias("columns"),
+    )
+
+
 def stack_profiles(spark: SparkSession, profiles: list[DataFrame]) -> DataFrame:
     out = spark.createDataFrame([], PROFILE)
     for p in profiles:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ledgerlark.functions.scoring import metrics, risk_score, spread_comparison
 from ledgerlark.operators import forest, reports
 from ledgerlark.operators.scores import with_decision
-from ledgerlark.session import materialise
+from ledgerlark.schema import PROVIDER_FEATURES
+from ledgerlark.sources import versions
 from ledgerlark.sources.tables import table_exists
 from ledgerlark.sources.warehouse import MODELS, PROMOTIONS, Warehouse
 
@@ -32,7 +33,8 @@ def active_model(wh: Warehouse, model_type: str = MODEL_TYPE) -> tuple[int, fore
 
 def train_model(wh: Warehouse, now: datetime, contamination: float = 0.05, trees: int = 200) -> tuple[int, forest.ForestModel]:
     """Train on a snapshot of all features and register the model, not yet active."""
-    snapshot = materialise(wh.features(), "training-features")
+    taken = versions.publish(wh.features(), wh.path("training_features"))
+    snapshot = versions.read(wh.spark, wh.path("training_features"), PROVIDER_FEATURES, taken)  # stays as it is while features change
     model = forest.train(snapshot, KEYS, contamination, trees)
     known = wh.state("models", MODELS)
     model_id = int(known.agg(F.coalesce(F.max("model_id"), F.lit(0)).alias("m")).first()["m"]) + 1

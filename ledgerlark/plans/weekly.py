@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ledgerlark.functions.scoring import RISK_THRESHOLD
 from ledgerlark.operators import attribution as at
 from ledgerlark.operators import increments as inc
-from ledgerlark.operators.features import provider_year_features
+from ledgerlark.operators.features import dated_between
 from ledgerlark.operators.forest import ForestModel
 from ledgerlark.operators.scores import score_batch
 from ledgerlark.plans.retrain import active_model, first_model
 from ledgerlark.session import materialise, temporary_tables
 from ledgerlark.sources import tables
+from ledgerlark.sources.claim_state import PROVIDER_BUCKET
 from ledgerlark.sources.warehouse import POSITIONS, RUN_EVENTS, Warehouse
 
 FEATURE_KEYS = ["at_physn_npi", "period_year"]
@@ -23,9 +24,17 @@ SCORE_KEYS = ["at_physn_npi", "period_year", "scoring_run_id"]
 
 
 def refresh_features(wh: Warehouse, batch_id: int, start: str | None = None, end: str | None = None) -> None:
-    """Recompute the providers active in (start, end] from their full history and replace their rows."""
-    rows = provider_year_features(wh.carrier(), wh.beneficiaries(), wh.outpatient(), batch_id, start, end)
-    tables.replace_rows(rows, wh.path("provider_features"), FEATURE_KEYS, "period_year")
+    """Recompute the providers active in (start, end] from their full history and replace their rows.
+
+    The history comes from the stored cells of their buckets, the window from the claims of its years; only the features of
+    these buckets are rewritten.  Without a window all providers are computed.
+    """
+    state = wh.claim_state()
+    claims = wh.carrier() if start is None and end is None else dated_between(wh.carrier(), start, end)
+    active = state.active(claims)
+    buckets = [b for (b,) in tables.values_of(active, [PROVIDER_BUCKET])]
+    rows = state.features(active, wh.beneficiaries(), wh.outpatient(buckets), batch_id)
+    tables.replace_rows(rows, wh.path("provider_features"), FEATURE_KEYS, ["period_year", PROVIDER_BUCKET])
 
 
 def explain(wh: Warehouse, scores: DataFrame, model: ForestModel, run_id: int) -> DataFrame:
@@ -50,7 +59,7 @@ def run_weekly(
     """
     now = now or datetime.now()
     position, last_batch = wh.position()
-    window = inc.batch_window(wh.carrier(), position, batch_size, last_batch).first()
+    window = inc.window_of_days(wh.claim_state().days.read(upto=wh.last_ingest()), position, batch_size, last_batch).first()
     if window is None:
         return None
     events = wh.state("run_events", RUN_EVENTS)

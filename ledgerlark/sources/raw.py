@@ -5,14 +5,17 @@ Layout: ``<root>/<sample>/<file name>.csv``; a "file" may also be a folder of CS
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlark.operators.cleanse import lower_names
 from ledgerlark.schema import RAW_BY_TYPE
-from ledgerlark.sources.tables import table_exists
+from ledgerlark.sources.tables import drop_path, file_system, folders, path_exists
 
 SAMPLES = ("sample_01", "sample_02")
 
@@ -50,26 +53,108 @@ def discover(spark: SparkSession, root: str, extension: str = "csv") -> DataFram
     ).distinct()
 
 
+def first_line(spark: SparkSession, location: str) -> str | None:
+    """First line of a CSV file, or of the first part with one in a folder of parts; nothing more is read."""
+    fs, path = file_system(spark, location)
+    jvm = spark._jvm
+    parts = sorted((s.getPath() for s in fs.listStatus(path)), key=lambda p: p.getName()) if fs.getFileStatus(path).isDirectory() else [path]
+    for part in parts:
+        if part.getName().startswith(("_", ".")):
+            continue
+        stream = fs.open(part)
+        try:
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        if line is not None:
+            return line
+    return None
+
+
+@dataclass(frozen=True)
+class FileGroup:
+    """Raw files with one header: they are read, audited and converted by one job."""
+
+    files: tuple[tuple[str, str, str], ...]  # (sample, file name, location)
+    columns: tuple[str, ...]
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All rows of the group as text, with ``_sample`` and ``_file``."""
+        if not self.columns:
+            return spark.createDataFrame([], "_sample string, _file string")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
+        rows = spark.read.schema(schema).option("header", True).csv([location for _, _, location in self.files])
+        return rows.select(*[F.col(f"`{c}`") for c in self.columns], sample_name().alias("_sample"), file_name().alias("_file"))
+
+
+def group_files(spark: SparkSession, files: Sequence[tuple[str, str, str]]) -> list[FileGroup]:
+    """Files by header line.  The driver reads the first line of each file; a data set has few different ones."""
+    by_header: dict[str | None, list[tuple[str, str, str]]] = {}
+    for f in sorted(files):
+        by_header.setdefault(first_line(spark, f[2]), []).append(f)
+    out = []
+    for header, members in by_header.items():
+        columns = () if header is None else tuple(read_csv(spark, members[0][2]).columns)
+        out.append(FileGroup(tuple(members), columns))
+    return out
+
+
+def _publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Move a complete folder to its place; what stood there goes first."""
+    fs, source = file_system(spark, staged)
+    _, place = file_system(spark, target)
+    fs.mkdirs(place.getParent())
+    fs.delete(place, True)
+    if not fs.rename(source, place):
+        raise OSError(f"cannot move {staged} to {target}")
+
+
 def convert_all(
     spark: SparkSession, raw_root: str, parquet_root: str, sample: str | None = None, force: bool = False
 ) -> list[dict]:
     """Copy every CSV file to Parquet, keeping the folder layout.
 
-    A target that exists is left alone unless ``force``; Spark's commit protocol leaves no
-    half-written target behind.  One job per logical file: a sample has six.
+    A target that exists is left alone unless ``force``.  Files with one header are written by one job, however many they are,
+    to a folder beside the targets, and each is moved to its place when the job is done: after a failure every target is
+    either as it was or complete.  A file without rows gives an empty target with its columns, one without a header none.
     """
+    root = parquet_root.rstrip("/")
     found = discover(spark, raw_root)
     if sample is not None:
         found = found.filter(F.col("sample") == sample)
-    report = []
-    for row in found.orderBy("sample", "file_name").collect():
-        target = f"{parquet_root.rstrip('/')}/{row['sample']}/{row['file_name']}.parquet"
-        if not force and table_exists(spark, target):
-            report.append({"status": "skipped", "path": target})
-            continue
-        read_csv(spark, row["location"]).write.mode("overwrite").option("compression", "snappy").parquet(target)
-        report.append({"status": "converted", "path": target})
-    return report
+    if not force and path_exists(spark, root):
+        done = discover(spark, root, "parquet").select("sample", "file_name", F.lit(True).alias("done"))
+        found = found.join(done, ["sample", "file_name"], "left")
+    else:
+        found = found.withColumn("done", F.lit(None).cast("boolean"))
+    rows = found.orderBy("sample", "file_name").collect()  # names only
+    target = lambda s, f: f"{root}/{s}/{f}.parquet"
+    status = {}
+    for group in group_files(spark, [(r["sample"], r["file_name"], r["location"]) for r in rows if not r["done"]]):
+        if group.columns:
+            _convert(spark, group, root, target)
+        status |= {f[:2]: "converted" if group.columns else "no header" for f in group.files}
+    return [
+        {"status": status.get((r["sample"], r["file_name"]), "skipped"), "path": target(r["sample"], r["file_name"])} for r in rows
+    ]
+
+
+def _convert(spark: SparkSession, group: FileGroup, root: str, target) -> None:
+    staged = f"{root}/_converting-{uuid.uuid4().hex[:12]}"
+    rows = group.read(spark)
+    try:
+        rows.write.partitionBy("_sample", "_file").option("compression", "snappy").parquet(staged)
+        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        places = {f"{staged}/_sample={escape(s)}/_file={escape(f)}": (s, f) for s, f, _ in group.files}
+        made = {f"{staged}/{a}/{b}" for a in folders(spark, staged) for b in folders(spark, f"{staged}/{a}")}
+        if made - set(places):
+            raise OSError(f"rows of unknown files: {sorted(made - set(places))}")
+        for place, (s, f) in places.items():
+            if place not in made:  # a file without rows
+                rows.drop("_sample", "_file").limit(0).coalesce(1).write.parquet(place)
+            _publish(spark, place, target(s, f))
+    finally:
+        drop_path(spark, staged)
 
 
 def staging(spark: SparkSession, parquet_root: str, file_type: str, samples: Sequence[str] = SAMPLES) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.operators.merge import insert_if_absent, replace_by_key
@@ -20,6 +21,30 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = file_system(spark, path)
+    return fs.exists(target)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``column=value`` folders right below a path; none where it does not exist."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory() and "=" in s.getPath().getName())
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty frame of its layout when it does not exist yet."""
     if not table_exists(spark, path):
@@ -50,20 +75,42 @@ def append_absent(df: DataFrame, path: str, keys: Sequence[str], order: Sequence
     append(materialise(insert_if_absent(target, df, keys, order), "insert"), path)
 
 
-def replace_rows(df: DataFrame, path: str, keys: Sequence[str], partition_by: str) -> None:
-    """Replace the rows with the keys of ``df``, rewriting only the partitions it touches.
+def values_of(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """Distinct values of columns that have few by their making, such as buckets and years."""
+    return sorted(tuple(r) for r in df.select(*columns).distinct().collect())
+
+
+def one_of(columns: Sequence[str], values: Sequence[tuple]) -> Column:
+    """True for rows with one of the given combinations, as a filter that prunes partitions: one list per column, then the pairs."""
+    out = F.lit(bool(values))
+    for i, c in enumerate(columns):
+        out = out & F.col(c).isin(sorted({v[i] for v in values}))
+    if len(columns) > 1:
+        pairs = F.lit(False)
+        for first in sorted({v[0] for v in values}):
+            rest = one_of(columns[1:], [v[1:] for v in values if v[0] == first])
+            pairs = pairs | ((F.col(columns[0]) == first) & rest)
+        out = out & pairs
+    return out
+
+
+def replace_rows(df: DataFrame, path: str, keys: Sequence[str], partition_by: str | Sequence[str]) -> None:
+    """Replace the rows with the keys of ``df``, reading and rewriting only the partitions it touches.
 
     The merged rows are written to the shared folder first, so the table is never read and
     overwritten in one job, and a failed overwrite can be repeated from there.
     """
     spark = df.sparkSession
+    columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     staged = materialise(df, "replace-new")
-    target = read_or_empty(spark, path, df.schema)
-    touched = target.join(staged.select(partition_by).distinct(), partition_by, "left_semi")
-    merged = materialise(replace_by_key(touched, staged, keys), "replace-merged")
+    merged = staged
+    if table_exists(spark, path):
+        touched = read_or_empty(spark, path, df.schema).filter(one_of(columns, values_of(staged, columns)))
+        merged = materialise(replace_by_key(touched, staged, keys), "replace-merged")
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", *columns)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
+        .partitionBy(*columns)
         .parquet(path)
     )

@@ -1,8 +1,11 @@
 """Feature refresh as a file stream.
 
 New claim files in the claims folder trigger a refresh of exactly the providers they name.  The stream
-tracks files, not dates, so claims dated before earlier ones are picked up too.  Each micro-batch
-replaces rows by key, so a batch that is run again after a failure gives the same table.
+tracks files, not dates, so claims dated before earlier ones are picked up too.
+
+A micro-batch reads its own files and, of the stored cells (``claim_state``), the buckets of the providers it names; never the
+claims folder.  A claim id that an earlier batch brought is not counted again.  A batch that is run again after a failure
+overwrites what it wrote and gives the same table.
 """
 
 from __future__ import annotations
@@ -10,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerlark.operators.features import PROVIDER, keep_providers, provider_year_features
-from ledgerlark.operators.ranking import first_per_key
-from ledgerlark.session import materialise, temporary_tables
+from ledgerlark.operators.features import PROVIDER
+from ledgerlark.session import temporary_tables
+from ledgerlark.sources.claim_state import BUCKETS, PROVIDER_BUCKET, ClaimState
 from ledgerlark.sources.tables import replace_rows
 
 KEYS = [PROVIDER, "period_year"]
@@ -27,19 +30,25 @@ def refresh_from_files(
     feature_path: str,
     checkpoint: str,
     max_files: int | None = None,
+    state_path: str | None = None,
+    buckets: int = BUCKETS,
 ):
-    """Start the stream over all files not yet seen; it ends when they are processed."""
+    """Start the stream over all files not yet seen; it ends when they are processed.
+
+    The stored cells live in ``state_path`` and belong to the checkpoint.
+    """
+    state = ClaimState(spark, state_path or f"{checkpoint.rstrip('/')}-state", buckets)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
+        number = batch_id + 1
         with temporary_tables(spark):
-            # A list of provider ids, one row each, fixed for the joins below.
-            active = materialise(batch.select(PROVIDER).dropna().distinct(), "active-providers")
-            history = spark.read.schema(schema).parquet(claims_path)
-            own = keep_providers(history, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
-            own = first_per_key(own, ["clm_id"], ("clm_from_dt", "desynpuf_id", PROVIDER))  # a claim may be delivered again
-            own_outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
-            rows = provider_year_features(own, bene, own_outpatient, batch_id=batch_id + 1)
-            replace_rows(rows, feature_path, KEYS, "period_year")
+            fresh = state.fresh(batch, number)
+            if fresh.isEmpty():
+                return
+            state.absorb(fresh, number)
+            rows = state.features(state.active(fresh), bene, outpatient, number)
+            replace_rows(rows, feature_path, KEYS, ["period_year", PROVIDER_BUCKET])
+            state.compact()
 
     reader = spark.readStream.schema(schema)
     if max_files is not None:
