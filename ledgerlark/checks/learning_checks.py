@@ -12,7 +12,7 @@ from ledgerlark.operators import supervised as sup
 from ledgerlark.schema import MODEL_FEATURES
 from ledgerlark.session import scratch_path
 from ledgerlark.sources import sample_views as views
-from ledgerlark.sources.tables import table_exists
+from ledgerlark.sources.tables import path_exists
 
 # Codes of the test tables that stand in for the real pairs.
 CODES = {"ECONOMY": "STANDARD", "PROMO": "LARGE"}
@@ -113,7 +113,7 @@ AUC_FLOOR, RECALL_FLOOR = 0.9, 0.9
 def boosted_model(spark, sf_dir) -> sup.BoostedModel:
     """The full boosted model over the split rows: trained once in a session and stored as tables."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS or not table_exists(spark, f"{_MODELS[key]}/nodes/current"):
+    if key not in _MODELS or not path_exists(spark, f"{_MODELS[key]}/nodes/current"):
         path = scratch_path(spark, "boosted")
         rows = once_per_session(spark, sf_dir, "split", lambda: _split(spark, sf_dir))
         sup.save_model(spark, sup.train(rows), path)

@@ -158,9 +158,9 @@ class BoostedModel:
         return 1.0 / (1.0 + np.exp(-2.0 * self.margin(x)))
 
     def importances(self) -> np.ndarray:
-        """Share of each input in the removed impurity; trees count with their boosting weight."""
+        """Share of each input in the impurity that all splits remove."""
         inner = self.feature >= 0
-        total = np.bincount(self.feature[inner], self.gain[inner] * self.weight[self.tree[inner]], len(MODEL_FEATURES))
+        total = np.bincount(self.feature[inner], self.gain[inner], len(MODEL_FEATURES))
         return total / total.sum() if total.sum() > 0 else total
 
 

@@ -76,7 +76,8 @@ class BatchTable:
         now = versions.current(self.spark, self._base)
         parts = [] if now is None else [wanted(versions.read(self.spark, self._base, self.schema, now[0]))]
         held = -1 if now is None else now[1]
-        late = [n for n in self.deltas() if (before is None or n < before) and (upto is None or n <= upto) and n > held]
+        numbers = (int(f.split("=")[1]) for f in tables.folders(self.spark, self._delta))
+        late = sorted(n for n in numbers if n > held and (before is None or n < before) and (upto is None or n <= upto))
         if late:
             paths = [f"{self._delta}/batch_id={n}" for n in late]
             # One scan over the folders; the batch number is not a column of the table.

@@ -117,16 +117,21 @@ class ClaimState:
         names = claims.select(fx.PROVIDER).dropna().distinct()
         return materialise(names.withColumn(PROVIDER_BUCKET, bucket(fx.PROVIDER, self.buckets)), "active-providers")
 
-    def history(self, active: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def _sizes(self, active: DataFrame) -> dict[int, int]:
+        """Active providers per bucket; one row per bucket comes to the driver."""
+        return {r[PROVIDER_BUCKET]: r["count"] for r in active.groupBy(PROVIDER_BUCKET).count().collect()}
+
+    def history(self, active: DataFrame, sizes: dict[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
         """(cells, amounts) of the active providers; only their buckets are read."""
-        buckets = {PROVIDER_BUCKET: [b for (b,) in values_of(active, [PROVIDER_BUCKET])]}
-        n = active.count()
+        sizes = self._sizes(active) if sizes is None else sizes
+        buckets, n = {PROVIDER_BUCKET: sorted(sizes)}, sum(sizes.values())
         cells = fx.keep_providers(self.cells.read(buckets, upto=self.upto), active, ("desynpuf_id", "primary_hcpcs_cd", "day"), n)
         amounts = fx.keep_providers(self.amounts.read(buckets, upto=self.upto), active, ("place_of_service_cd", "ratio"), n)
         return fx.add_cells(cells), fx.add_amounts(amounts)
 
     def features(self, active: DataFrame, bene: DataFrame, outpatient: DataFrame, batch_id: int) -> DataFrame:
         """Features of the active providers, with their bucket."""
-        cells, amounts = self.history(active)
-        own = fx.keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
+        sizes = self._sizes(active)
+        cells, amounts = self.history(active, sizes)
+        own = fx.keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"), sum(sizes.values()))
         return fx.features_of_cells(cells, amounts, bene, own, batch_id).withColumn(PROVIDER_BUCKET, bucket(fx.PROVIDER, self.buckets))

@@ -37,12 +37,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the ``column=value`` folders right below a path; none where it does not exist."""
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a path; none where it does not exist."""
     fs, target = file_system(spark, path)
-    if not fs.exists(target):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory() and "=" in s.getPath().getName())
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``column=value`` folders right below a path."""
+    return [n for n in names_in(spark, path) if "=" in n]
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

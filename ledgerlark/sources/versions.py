@@ -1,22 +1,23 @@
 """Tables that are replaced as a whole.
 
-Each version is written beside the others; a row in a small pointer table then makes it the current one.  A reader takes the
-path of the current version once and meets either the old table or the new one, also while a reload runs or after one
-failed.  Old versions stay readable until they are pruned.  One writer at a time.
+Each version is written beside the others; an empty marker file in a pointer folder then makes it the current one.  Creating the
+marker is one step of any file system, and finding it is one listing.  A reader takes the path of the current version once and
+meets either the old table or the new one, also while a reload runs or after one failed.  Old versions stay readable until they are
+pruned.  One writer at a time.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.sources import tables
 
-POINTER = "version int, upto int"
 KEEP = 2
+_MARKER = re.compile(r"version-(\d+)\.upto-(\d+)")
 
 
 def _pointer(root: str) -> str:
@@ -29,9 +30,8 @@ def location(root: str, version: int) -> str:
 
 def current(spark: SparkSession, root: str) -> tuple[int, int] | None:
     """(current version, the number it was published with), or None before the first."""
-    schema = spark.createDataFrame([], POINTER).schema
-    row = tables.read_or_empty(spark, _pointer(root), schema).agg(F.max(F.struct("version", "upto")).alias("p")).first()
-    return None if row["p"] is None else (row["p"]["version"], row["p"]["upto"])
+    marks = [m for f in tables.names_in(spark, _pointer(root)) if (m := _MARKER.fullmatch(f))]
+    return max(((int(m[1]), int(m[2])) for m in marks), default=None)
 
 
 def publish(
@@ -42,7 +42,8 @@ def publish(
     now = current(spark, root)
     version = 1 if now is None else now[0] + 1
     tables.full_refresh(df, location(root, version), partition_by, cluster_by)
-    tables.append(spark.createDataFrame([(version, upto)], POINTER).coalesce(1), _pointer(root))
+    fs, mark = tables.file_system(spark, f"{_pointer(root)}/version-{version:06d}.upto-{upto}")
+    fs.create(mark).close()
     for old in range(max(1, version - keep - 8), version - keep + 1):
         tables.drop_path(spark, location(root, old))
     return version

@@ -72,6 +72,48 @@ def test_conversion_skips_existing_targets(spark, zone, wh):
     assert len(forced) == 6 and {r["status"] for r in forced} == {"converted"}
 
 
+def test_files_of_one_header_are_converted_by_one_job(spark, tmp_path, monkeypatch):
+    for s in ("sample_01", "sample_02"):
+        (tmp_path / "raw" / s).mkdir(parents=True)
+        for i in range(20):
+            (tmp_path / "raw" / s / f"part {i}.csv").write_text("A,B\n" + "".join(f"{s}{i},{j}\n" for j in range(i % 3)))
+    (tmp_path / "raw" / "sample_01" / "other.csv").write_text('B,"a b",C\n1,,3\n')
+    (tmp_path / "raw" / "sample_01" / "nothing.csv").write_text("")
+    groups = raw.group_files(spark, [(r["sample"], r["file_name"], r["location"]) for r in raw.discover(spark, str(tmp_path / "raw")).collect()])
+    assert sorted((len(g.files), g.columns) for g in groups) == [(1, ("b", "a b", "c")), (40, ("a", "b"))]  # a file without bytes is not listed
+    target = tmp_path / "parquet"
+
+    def broken(spark, staged, place, publish=raw._publish):
+        if place.endswith("sample_02/part 7.parquet"):
+            raise OSError("no room")
+        publish(spark, staged, place)
+
+    with monkeypatch.context() as m:
+        m.setattr(raw, "_publish", broken)
+        with pytest.raises(OSError):
+            raw.convert_all(spark, str(tmp_path / "raw"), str(target))
+    made = {p.name for p in target.iterdir()}
+    assert made <= {"sample_01", "sample_02"} and not (target / "sample_02" / "part 7.parquet").exists()
+    report = raw.convert_all(spark, str(tmp_path / "raw"), str(target))
+    assert len(report) == 41 and {r["status"] for r in report} == {"converted", "skipped"}
+    for s in ("sample_01", "sample_02"):
+        for i in (0, 4, 7, 19):
+            back = spark.read.parquet(str(target / s / f"part {i}.parquet"))
+            assert back.columns == ["a", "b"] and sorted(map(tuple, back.collect())) == [(f"{s}{i}", str(j)) for j in range(i % 3)]
+    assert spark.read.parquet(str(target / "sample_01" / "other.parquet")).collect()[0].asDict() == {"b": "1", "a b": None, "c": "3"}
+
+
+def test_audit_of_copies_equals_audit_of_raw_files(spark, zone, wh, tmp_path):
+    ok, raw_findings = backfill.validate(spark, str(zone / "raw"))
+    copied, findings = backfill.audit_converted(spark, str(zone / "parquet"))
+    assert ok and copied and sorted(map(str, raw_findings.collect())) == sorted(map(str, findings.collect()))
+    write_raw(tmp_path / "raw")
+    (tmp_path / "raw" / "sample_02" / "DE1_0_2009_Beneficiary_Summary_File_Sample_2.csv").write_text("DESYNPUF_ID,BENE_BIRTH_DT\n")
+    with pytest.raises(ValueError, match="EMPTY"):
+        backfill.backfill(Warehouse(spark, str(tmp_path / "w")), str(tmp_path / "raw"), str(tmp_path / "p"))
+    assert not list((tmp_path / "p").rglob("*.parquet"))  # corrected files are converted next time
+
+
 def test_staging_is_reloaded_as_a_whole(spark, zone, tmp_path):
     own = Warehouse(spark, str(tmp_path))
     for _ in range(2):
@@ -147,6 +189,8 @@ def test_supervised_benchmark(spark, wh):
     assert rate["rows"] == 3 * wh.features().count() and rate["anomalies"] > 0
     out = benchmark.train_and_evaluate(wh, params={"maxIter": 2, "maxDepth": 2})
     assert set(out) == {"overall", "scenarios", "report", "top_features"} and len(out["top_features"]) == 5
+    scored = benchmark.score(wh, wh.features())
+    assert scored.count() == wh.features().count() and scored.filter("prob IS NULL OR prob NOT BETWEEN 0 AND 1").isEmpty()
 
 
 def test_replace_rows_touches_only_its_partitions(spark, tmp_path):

@@ -227,7 +227,7 @@ def test_scenarios(spark, features):
     assert moved.count() == 12 and moved.filter(~F.date_diff("clm_from_dt", "d").between(1, 5)).isEmpty()
 
 
-def test_split_and_boosting(spark, features):
+def test_split_and_boosting(spark, features, tmp_path):
     rows = inject.all_scenarios(_claims(spark), features)
     unique = supervised.one_year_per_scenario(rows)
     marked = supervised.split(unique).persist()
@@ -235,10 +235,22 @@ def test_split_and_boosting(spark, features):
     assert by_label == {0: (1160, 232), 1: (40, 8)}
     grouped = supervised.split(unique, group_by_provider=True)
     assert grouped.groupBy("at_physn_npi").agg(F.count_distinct("is_test").alias("n")).filter("n > 1").isEmpty()
-    model, scaler = supervised.train(marked, {"maxIter": 3, "maxDepth": 3})
-    out = supervised.predict(model, scaler, marked.filter("is_test"))
-    assert out.count() == 240 and out.filter("prob < 0 OR prob > 1").isEmpty()
-    assert supervised.importances(model, scaler, top=5).count() == 5
+    params = {"maxIter": 4, "maxDepth": 4}
+    fitted, scaler = supervised.fit(marked, params)
+    model = supervised.BoostedModel.from_tables(supervised.node_table(fitted, spark), scaler)
+    assert len(model.roots) == 4 and model.weight.tolist() == list(fitted.treeWeights)
+    held_out = marked.filter("is_test")
+    out = {(r.at_physn_npi, r.scenario): r.prob for r in supervised.predict(model, held_out).collect()}
+    whole = fitted.transform(supervised._vectors(supervised.standardise(supervised.model_matrix(held_out), scaler)))
+    own = {(r.at_physn_npi, r.scenario): float(r.probability[1]) for r in whole.select("at_physn_npi", "scenario", "probability").collect()}
+    assert len(out) == 240 and out.keys() == own.keys() and max(abs(out[k] - own[k]) for k in own) < 1e-9
+    assert np.abs(model.importances() - fitted.featureImportances.toArray()).max() < 1e-9
+    assert len({round(p, 6) for p in out.values()}) > 1
+    supervised.save_model(spark, model, str(tmp_path / "boosted"))
+    again = supervised.load_model(spark, str(tmp_path / "boosted"))
+    x = np.random.default_rng(2).normal(size=(40, len(MODEL_FEATURES)))
+    assert np.array_equal(again.probability(x), model.probability(x)) and again.mean == model.mean and again.scale == model.scale
+    assert supervised.importances(spark, again, top=5).count() == 5
 
 
 def test_metrics_with_empty_classes(spark):
