@@ -23,13 +23,18 @@ _FILE = r"([^/]+)\.(?:csv|parquet)(?:/[^/]+)?$"
 _SAMPLE = r"([^/]+)/[^/]+\.(?:csv|parquet)(?:/[^/]+)?$"
 
 
+def own_path() -> Column:
+    """Path of the file a row came from, as it is written; the metadata column shows it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: Column | None = None) -> Column:
     """Name of the logical file a row came from, without extension."""
-    return F.regexp_extract(F.col("_metadata.file_path") if path is None else path, _FILE, 1)
+    return F.regexp_extract(own_path() if path is None else path, _FILE, 1)
 
 
 def sample_name(path: Column | None = None) -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path") if path is None else path, _SAMPLE, 1)
+    return F.regexp_extract(own_path() if path is None else path, _SAMPLE, 1)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
