@@ -6,13 +6,13 @@ its join key large, which adaptive execution splits.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import Scratch
 
-MAX_ROUNDS = 60
-
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star operation on edges (a, b) with a > b."""
@@ -32,7 +32,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-0"
     )
     mark = _mark(now)
-    for i in range(1, MAX_ROUNDS):
+    for i in count(1):  # each round that changes anything brings nodes nearer to their smallest one, so it settles
         after = scratch.write(_star(_star(now, large=True), large=False), f"{label}-{i}")
         scratch.drop(f"{label}-{i - 1}")
         now, before, mark = after, mark, _mark(after)
@@ -40,7 +40,6 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionAll(
                 now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
             )
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -38,13 +38,13 @@ def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     scored = quality_model.score(docs, quality_model.fit(docs, labels, _fold(5) != 0))
-    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = language.predict(docs, language.fit(docs, _fold(4) != 2))
-    return out.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op5_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
