@@ -72,7 +72,10 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("int"), F.col("role").cast("string"), F.col("text").cast("string")
     )
-    extra = spark.createDataFrame([(-1, 0, "user", hostile), (-1, 1, "assistant", hostile)], turns.schema)
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").cast("int").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hostile).alias("text"),
+    )
     back = chat.read_back(chat.format_conversations(turns.unionByName(extra)))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     digest = lambda c: F.sha2(c.cast("binary"), 256)

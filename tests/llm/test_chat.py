@@ -1,6 +1,7 @@
 """Chat formatting: exact round trip of hostile texts, merged neighbours, loss spans."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def test_round_trip_and_loss(spark):
     rows = []
     for conv in range(60):
         for turn in range(rng.randrange(1, 9)):
-            rows.append((conv, turn, rng.choice(["user", "assistant", "assistant", "system", "we\nird<|\\n"]), rng.choice(HOSTILE)))
+            rows.append((conv, turn, rng.choice(["user", "assistant", "assistant", "system", "we\nird<|\\n", "us\x00er", "\\s\\\\n<\\|"]), rng.choice(HOSTILE)))
     rows += [(None, 0, "user", "no id"), (-1, 0, None, "x"), (-1, None, "assistant", "first")]
     turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("turns", F.lit(1))
     formatted = chat.format_conversations(turns)
@@ -54,3 +55,14 @@ def test_empty_table_and_plan(spark):
     assert out.count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_conversation(spark):
+    """16,000 turns, runs of one role, characters outside the basic plane: read back whole, in time that grows with the turns."""
+    rows = [(1, i, ["user", "assistant", "assistant"][i % 3], f"turn {i} \U0001f600<|{'z' * (i % 700 if i % 50 == 0 else i % 9)}") for i in range(16_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    began = time.monotonic()
+    r = chat.read_back(chat.format_conversations(turns)).first()
+    assert time.monotonic() - began < 30  # a few seconds; the quadratic form took minutes
+    assert [tuple(t) for t in r["turns"]] == [(role, text) for _, _, role, text in rows]
+    assert r["loss_text"] == "".join(text for _, _, role, text in rows if role == "assistant")
