@@ -21,6 +21,8 @@ from ledgerlark.llm.common import Scratch
 
 RING_BITS = 14
 VNODES = 64
+#: Copies of one row that a task writes at a time.
+PORTION = 10_000
 
 
 def ring_points(n_shards: int, vnodes: int = VNODES) -> list[tuple[int, int, int]]:
@@ -69,7 +71,7 @@ def assign_shards(docs: DataFrame, n_shards: int, epsilon: float = 0.0, vnodes:
 
     size: UTF-8 bytes of the text plus 8.  A null text has no bytes (crc 0).  The ring position comes from doc_id,
     or from the text where doc_id is null.  Repeated rows are counted once per row: they pass the shuffles as one
-    row with a count and are spread over consecutive ranks, so a row repeated for a third of the table makes no
+    row with a count and are written in portions of consecutive ranks by many tasks, so a row repeated for a third of the table makes no
     heavy group.  Ties are ordered by (doc_id, crc, size).  An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -87,12 +89,15 @@ def assign_shards(docs: DataFrame, n_shards: int, epsilon: float = 0.0, vnodes:
         place(counts, n_shards, epsilon, vnodes), "cell int, lo long, hi long, shard int, base long"
     )
     in_cell = Window.partitionBy("cell").orderBy("h", "doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = keys.withColumn("end", F.sum("n").over(in_cell)).withColumn(
-        "rank", F.explode(F.sequence(F.col("end") - F.col("n"), F.col("end") - 1))
-    )
+    ranges = keys.withColumn("end", F.sum("n").over(in_cell)).withColumn("begin", F.col("end") - F.col("n"))
     # the plan has at most 2**RING_BITS rows plus one for each split portion
-    here = (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
-    return (
-        ranked.join(F.broadcast(plan), (ranked["cell"] == plan["cell"]) & here)
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("rank") - F.col("lo")).alias("slot"))
+    meets = (F.col("begin") < F.col("hi")) & (F.col("end") > F.col("lo"))
+    met = ranges.join(F.broadcast(plan), (ranges["cell"] == plan["cell"]) & meets).select(
+        "doc_id", "size", "text_crc32", "h", "shard", (F.col("base") - F.col("lo")).alias("shift"),
+        F.greatest("begin", "lo").alias("begin"), F.least("end", "hi").alias("end"),
     )
+    # a row repeated very often is dealt in portions to many tasks, and no array holds more than one portion
+    portion = F.explode(F.sequence(F.col("begin"), F.col("end") - 1, F.lit(PORTION).cast("long")))
+    dealt = met.withColumn("first", portion).repartition("h", "first")
+    rank = F.explode(F.sequence("first", F.least(F.col("first") + PORTION, "end") - 1))
+    return dealt.withColumn("rank", rank).select("doc_id", "size", "text_crc32", "shard", (F.col("shift") + F.col("rank")).alias("slot"))

@@ -1,5 +1,6 @@
 """Ring sharding: exact balance, gapless slots, little movement, odd inputs."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -42,8 +43,38 @@ def test_keys_keep_their_owner_and_growth_moves_little():
         own[cell] = shard
     firsts = sorted(own)
     home = lambda c: own[next((f for f in firsts if f >= c), firsts[0])]
-    sample = [k for k in before if k[0] % 50 == 0]
-    assert sum(before[k] == home(k[0]) for k in sample) / len(sample) > 0.85
+    assert sum(before[k] == home(k[0]) for k in before) / len(before) > 0.85
+
+
+def plain_ring(counts, n_shards):
+    """Every copy placed alone: first own keys up to the room, then the rest, each walking clockwise."""
+    points = sharding.ring_points(n_shards)
+    total = sum(counts.values())
+    room = [total // n_shards + (s < total % n_shards) for s in range(n_shards)]
+    first = {c: next((i for i, p in enumerate(points) if p[0] >= c), 0) for c in counts}
+    out, waiting = {}, []
+    for c in sorted(counts):
+        for rank in range(counts[c]):
+            shard = points[first[c]][2]
+            if room[shard]:
+                room[shard] -= 1
+                out[c, rank] = shard
+            else:
+                waiting.append((c, rank))
+    for c, rank in waiting:
+        at = first[c]
+        while not room[points[at % len(points)][2]]:
+            at += 1
+        room[points[at % len(points)][2]] -= 1
+        out[c, rank] = points[at % len(points)][2]
+    return out
+
+
+def test_placement_equals_a_plain_walk():
+    rng = random.Random(6)
+    for n_shards in (1, 3, 24):
+        counts = {rng.randrange(1 << sharding.RING_BITS): rng.choice([1, 1, 2, 400]) for _ in range(300)}
+        assert owners(sharding.place(counts, n_shards), counts) == plain_ring(counts, n_shards)
 
 
 def test_slack_bounds_loads_and_moves_less():
@@ -61,3 +92,15 @@ def test_repeated_rows_null_ids_extra_columns_and_empty_table(spark):
     assert sorted(Counter(r["shard"] for r in out).values()) == [70] * 9 + [71]
     assert len({(r["shard"], r["slot"]) for r in out}) == 701
     assert sharding.assign_shards(docs.where("false"), 10).count() == 0
+
+
+def test_copies_beyond_a_portion(spark, monkeypatch):
+    """One row repeated for most of the table is written in portions, gapless, also where it spreads over shards."""
+    monkeypatch.setattr(sharding, "PORTION", 7)
+    docs = spark.createDataFrame([(5, "same")] * 500 + [(i, "x") for i in range(100)], "doc_id long, text string")
+    out = sharding.assign_shards(docs, 6).collect()
+    assert Counter(r["doc_id"] for r in out)[5] == 501 and len(out) == 600
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(100)) for s in slots.values()) and len(slots) == 6
