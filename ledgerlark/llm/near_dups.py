@@ -6,6 +6,7 @@ Sets A, B reach 0.8 exactly when their symmetric difference has at most (|A| + |
   A shingle in one set only changes one block, so the number of differing blocks never exceeds the symmetric
   difference ``d``.  By the pigeonhole rule, of the first ``p`` blocks in one global order (fullest first, then by
   value) two similar sets share at least the smaller ``p`` less ``d``; ``need`` is the least of that over all partners' sizes.
+  A set with fewer than ``p`` filled blocks shows empty ones as well (the last in that order), so ``p`` always holds.
 * Join.  A document is only kept if enough of its blocks occur in another document too, and only its rarest
   blocks can then be needed.  Every block's members are linked to the block's smallest member: a linear number of
   candidate links whose clusters contain every true link.
@@ -101,10 +102,13 @@ def blocks(s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         counts = np.diff(np.append(first, n))
         keys = np.bitwise_xor.reduceat(mix(s), first) + at[first]
+        if len(keys) < _length(n, band):  # an empty block is the XOR of nothing; it counts like any other
+            empty = np.setdiff1d(np.arange(k, dtype=_U), at[first])
+            keys, counts = np.concatenate([keys, empty]), np.concatenate([counts, np.zeros(len(empty), counts.dtype)])
     keys = mix(keys + _U((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
     length = _length(n, band)
     order = np.argsort(keys) if counts is None else np.lexsort((keys, -counts))
-    return keys[order[:length]], max(1, _need(n, band) - max(0, length - len(keys)))
+    return keys[order[:length]], max(1, _need(n, band))
 
 
 def elements(s: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
@@ -268,11 +272,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id take part in links but name no component.  Repeated rows are one node and come back once each.  An empty
     table gives an empty result.  Shingles and sets are compared by 64-bit hashes.
     """
+    sized, final = _grouped(docs)
+    ids = sized.groupBy("node").agg(F.min("doc_id").alias("low")).join(final, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = ids.select("node", "comp").join(ids.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("node", "component_id")
+    alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+    return sized.join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, _rk1, _rk2, n, node) of each row, and (node, comp) of the nodes that link with others."""
     with setting(docs.sparkSession, *TEXT_BATCH):  # all passes over texts are written in here
-        return _near_duplicates(docs)
+        return _linked(docs)
 
 
-def _near_duplicates(docs: DataFrame) -> DataFrame:
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     keyed = with_row_key(docs.select("doc_id", "text"), "doc_id", "text")
@@ -323,26 +336,34 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     final = scratch.write(components(links.unionAll(more), scratch, "final"), "final")
     scratch.drop("sets", "links", "more", "again", "members", "spread", "marked", "first", "clusters")
 
-    ids = sized.groupBy("node").agg(F.min("doc_id").alias("low")).join(final, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = ids.select("node", "comp").join(ids.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("node", "component_id")
-    alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-    return sized.join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+    return sized, final
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` left when one document of each component stays: the one with the smallest doc_id.
+    """Rows of ``docs`` left when one document of each component stays: the one with the smallest doc_id, null last, then by row key.
 
-    Rows without a doc_id stay.  Of repeated rows with that doc_id the first by text stays.
+    What goes is named by (doc_id, text), so two texts that share a doc_id are judged one by one, and copies without a
+    doc_id go as well.  Rows without words link with nothing and stay.  Of repeated rows with words one stays, the smallest by
+    all columns.  An empty table gives an empty result; extra columns may have any name.
     """
     scratch = Scratch(docs.sparkSession, "kept")
-    found = scratch.write(near_duplicates(docs), "found")
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    if gone.count() <= BROADCAST_KEYS:
-        gone = F.broadcast(gone)
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeats = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().where("count > 1").select("doc_id")
+    sized, final = _grouped(docs)
+    comp = F.coalesce("comp", "node").alias("comp")
+    key = ["_rk1", "_rk2"]
+    worded = sized.where("n > 0").groupBy("node", "doc_id", *key).agg(F.count("*").alias("copies"))
+    found = scratch.write(worded.join(final, "node", "left").select(comp, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *key).alias("row"), "copies"), "found")
+    stays = found.groupBy("comp").agg(F.min("row").alias("first"))
+    judged = scratch.write(found.join(stays, "comp").select("row._rk1", "row._rk2", "copies", (F.col("row") == F.col("first")).alias("kept")), "judged")
+    scratch.drop("found")
+
+    def few(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
+
+    keyed = with_row_key(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")), "doc_id", "text").select("_row", *key)
+    left = keyed.join(few(judged.where("NOT kept").select(*key)), key, "left_anti")
+    repeats = judged.where("kept AND copies > 1").select(*key)
     if repeats.isEmpty():
-        return left
-    first = Window.partitionBy("doc_id").orderBy(F.col("text"), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
-    again = left.join(repeats, "doc_id", "left_semi").withColumn("_at", F.row_number().over(first)).where("_at = 1").select(*docs.columns)
-    return left.join(repeats, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
+        return left.select("_row.*")
+    repeats = few(repeats)
+    once = left.join(repeats, key, "left_semi").groupBy(*key).agg(F.min("_row").alias("_row"))
+    return left.join(repeats, key, "left_anti").select("_row.*").unionByName(once.select("_row.*"))

@@ -94,11 +94,20 @@ def test_repeated_rows_null_ids_and_extra_columns(spark):
     assert got == sorted([(7, 56, 3), (7, 56, 3), (None, 56, None), (3, 57, 3), (9, 1, 9), (None, 0, None)], key=repr)
     kept = near_dups.keep_one(docs)
     assert kept.columns == ["doc_id", "text", "node"]
-    assert sorted((r["node"] for r in kept.collect())) == [3, 4, 5, 6]
+    assert sorted((r["node"] for r in kept.collect())) == [4, 5, 6]
     once = spark.createDataFrame([(1, long, 8), (1, long, 2), (5, long, 1)], "doc_id long, text string, node int")
     assert [tuple(r) for r in near_dups.keep_one(once).select("doc_id", "node").collect()] == [(1, 2)]
 
 
+def test_keep_one_judges_texts_that_share_an_id_one_by_one(spark):
+    long, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "wv")
+    rows = [(2, long, 1), (5, long + " x", 2), (5, other, 3), (None, other + " y", 4), (None, other + " y", 5), (None, "", 6), (8, None, 7), (8, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _rk1 int")
+    assert sorted(r["_rk1"] for r in near_dups.keep_one(docs).collect()) == [1, 3, 6, 7, 8]
+    only = docs.where("doc_id IS NULL AND text != ''")
+    assert [r["_rk1"] for r in near_dups.keep_one(only).collect()] == [4]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dups.near_duplicates(docs).count() == 0
@@ -159,3 +168,16 @@ def test_need_of_a_set_that_holds_a_smaller_one():
             (ka, na), (kb, nb) = near_dups.blocks(a, band), near_dups.blocks(b, band)
             assert len(np.intersect1d(ka, kb)) >= max(na, nb)
             assert max(na, nb) <= max(1, min(near_dups._length(n, band), near_dups._length(len(b), band)) - (n + len(b)) // 9)
+
+
+def test_sets_with_few_filled_blocks_show_empty_ones():
+    """All shingles in a few blocks: the list is as long as promised, and similar sets still share what is needed."""
+    rng = np.random.default_rng(4)
+    for n in (70, 120, 200, 600):
+        band = near_dups.band_of(n)
+        for fill in (4, 16, 64):
+            a = np.unique(rng.integers(0, 2**64 // fill, n, dtype=np.uint64))
+            b = np.sort(rng.permutation(a)[: -(-4 * len(a) // 5)])
+            (ka, na), (kb, nb) = near_dups.blocks(a, band), near_dups.blocks(b, band)
+            assert len(set(ka.tolist())) == near_dups._length(len(a), band) and len(kb) == near_dups._length(len(b), band)
+            assert len(np.intersect1d(ka, kb)) >= max(na, nb)
