@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import language, quality_model, queries
@@ -37,6 +38,35 @@ def test_quality_odd_inputs(spark, make_docs):
     assert quality_model.score(docs.where("false"), model).count() == 0
 
 
+def test_quality_scores_equal_plain_zstandard(spark):
+    """Every score from the two dictionaries block by block; the curve is where the slope of its likelihood is 0."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    model = quality_model.fit(docs, labels, F.lit(True))
+    packers = [
+        zstandard.ZstdCompressor(level=quality_model.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False)
+        for d in (model.good, model.bad)
+    ]
+
+    def plain(text):
+        raw = (text or "").encode()
+        parts = [raw[i : i + 512] for i in range(0, len(raw), 512)]
+        good, bad = (sum(len(z.compress(p)) for p in parts) for z in packers)
+        return math.tanh(quality_model.BEND * (bad - good + model.prior * quality_model.PRIOR_BYTES) / (len(raw) + quality_model.PRIOR_BYTES))
+
+    bent = {r["doc_id"]: plain(r["text"]) for r in docs.collect()}
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(docs, model).collect()}
+    assert set(got) == set(bent)
+    assert all(abs(got[d] - 1 / (1 + math.exp(-(model.bias + model.slope * x)))) < 1e-9 for d, x in bent.items())
+
+    rng = np.random.default_rng(1)
+    y = (rng.random(400) < 0.7).astype(float)
+    x, weight = rng.normal(size=400) + y, rng.random(400) + 0.5
+    bias, slope = quality_model._fit_curve(x, y, weight)
+    gap = weight * (y - 1 / (1 + np.exp(-(bias + slope * x))))
+    assert abs(gap.sum() - 1e-6 * weight.sum() * bias) < 1e-6 and abs((gap * x).sum() - 1e-4 * weight.sum() * slope) < 1e-6
+
+
 def test_language_on_held_out_documents(spark):
     want = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = queries.op4_ppm_language(spark, SF).collect()
