@@ -7,8 +7,9 @@ Sets A, B reach 0.8 exactly when their symmetric difference has at most (|A| + |
   difference ``d``.  By the pigeonhole rule, of the first ``p`` blocks in one global order (fullest first, then by
   value) two similar sets share at least the smaller ``p`` less ``d``; ``need`` is the least of that over all partners' sizes.
   A set with fewer than ``p`` filled blocks shows empty ones as well (the last in that order), so ``p`` always holds.
-* Join.  A document is only kept if enough of its blocks occur in another document too, and only its rarest
-  blocks can then be needed.  Every block's members are linked to the block's smallest member: a linear number of
+* Join.  Blocks are counted per key.  Keys with very many sets are found beforehand (each task counts its own, 1,000,000
+  blocks at a time), and their rows are salted, so no task gets more than about HOT_KEY rows of one key and flush.
+  A document is only kept if enough of its blocks occur in another document too, and only its rarest blocks can then be needed.  Every block's members are linked to the block's smallest member: a linear number of
   candidate links whose clusters contain every true link.
 * Verify.  Within a cluster, chunk by chunk, dense bit sketches (one flipped bit per shingle; their Hamming
   distance bounds the symmetric difference from below) drop most pairs, exact set intersections decide the rest, and
@@ -41,6 +42,11 @@ ANCHORS = 16
 SEEN_SETS = 500_000
 BROADCAST_KEYS = 1_000_000
 EMIT = 200_000
+#: Blocks that a task counts at a time; a key counts where it is met twice or more among them.
+TALLY = 1_000_000
+#: Keys counted above this, and above one in MAX_HOT_KEYS of all that is counted, are hot: MAX_HOT_KEYS at most.
+HOT_KEY, MAX_HOT_KEYS = 200, 500_000
+SALTS = 1024
 
 
 def similar(inter: int, a: int, b: int) -> bool:
@@ -126,15 +132,46 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [(t or "").encode() for t in column.to_pylist()]
 
 
+def _repeated(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys met twice or more, and how often."""
+    found, hits = np.unique(np.concatenate(keys), return_counts=True)
+    return found[hits > 1], hits[hits > 1]
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row (doc_id, _rk1, _rk2, n, node) for each text, and rows (key, hits) for blocks that this task met more than once."""
+    names = ["doc_id", "_rk1", "_rk2", "n", "node", "key", "hits"]
+    seen: set[int] = set()
+    keys: list[np.ndarray] = []
+    held = 0
+
+    def tally() -> pa.RecordBatch:
+        found, hits = _repeated(keys)
+        keys.clear()
+        cols = [pa.nulls(len(found), pa.int64())] * 5 + [pa.array(found.view(np.int64)), pa.array(hits.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(cols, names=names)
+
     for rb in batches:
         n, nodes = [], []
         for _, words in word_hashes(_texts(rb.column(0))):
             s = shingle_set(words)
             n.append(len(s))
             nodes.append(_node(s))
-        cols = [*rb.columns[1:], pa.array(n, pa.int64()), pa.array(np.array(nodes, dtype=_U).view(np.int64))]
-        yield pa.RecordBatch.from_arrays(cols, names=[*rb.schema.names[1:], "n", "node"])
+            if len(s) >= 4 and (node := int(nodes[-1])) not in seen:
+                if len(seen) >= SEEN_SETS:
+                    seen.clear()
+                seen.add(node)
+                for k, _ in elements(s):
+                    keys.append(k)
+                    held += len(k)
+            if held >= TALLY:
+                yield tally()
+                held = 0
+        ids = [rb.column(i).cast(pa.int64()) for i in (1, 2, 3)]
+        cols = [*ids, pa.array(n, pa.int64()), pa.array(np.array(nodes, dtype=_U).view(np.int64)), *[pa.nulls(len(n), pa.int64())] * 2]
+        yield pa.RecordBatch.from_arrays(cols, names=names)
+    if keys:
+        yield tally()
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,23 +282,39 @@ def _links(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.select(*by, "node", "comp", "probe", "shingles").groupBy(*by).applyInArrow(_verify, "a long, b long")
 
 
-def _candidates(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b): every block's members linked to its smallest member."""
-    key = Window.partitionBy("key")
+def hot_keys(counted: DataFrame) -> DataFrame:
+    """(key, hits) of at most MAX_HOT_KEYS keys that very many sets show, from the tasks' own counts (key, hits)."""
+    every = counted.agg(F.coalesce(F.sum("hits"), F.lit(0)).alias("hits")).first()["hits"]
+    return counted.groupBy("key").agg(F.sum("hits").alias("hits")).where(F.col("hits") > max(HOT_KEY, every // MAX_HOT_KEYS))
+
+
+def _candidates(docs: DataFrame, hot: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): every block's members linked to its smallest member.
+
+    ``hot`` lists very frequent keys; there the listed count stands for the number of members, the same in every row.
+    """
     mine = Window.partitionBy("node", F.col("need") > 0)
 
-    def shared(rows: DataFrame) -> DataFrame:
-        """Blocks of more than one set, and of those only the sets that still have enough of them."""
-        met = rows.withColumns({"n": F.count("*").over(key), "low": F.min("node").over(key), "high": F.max("node").over(key)})
-        met = met.where(F.col("low") != F.col("high")).select("key", "node", "need", "n").distinct()
+    def enough(met: DataFrame) -> DataFrame:
+        """Of the shared blocks (key, node, need, n) those of sets that still have enough of them."""
         counted = met.withColumns({"have": F.count("*").over(mine), "must": F.min(F.abs("need")).over(mine)})
         return counted.where(F.col("have") >= F.col("must"))
 
-    first = scratch.write(shared(docs.select("text").mapInArrow(_elements, "key long, node long, need int")), "shared")
-    again = shared(first.select("key", "node", "need"))  # partners may have gone
+    # the rows of a key that is not hot fit into one task; those of a hot key are dealt over many and stay unseen
+    salt = F.when(F.col("hits").isNotNull(), F.pmod("node", F.lit(SALTS)).cast("int"))
+    rows = docs.select("text").mapInArrow(_elements, "key long, node long, need int").join(F.broadcast(hot), "key", "left").withColumn("salt", salt)
+    one = Window.partitionBy("key", "salt")
+    met = rows.withColumns({"n": F.coalesce("hits", F.count("*").over(one)), "low": F.min("node").over(one), "high": F.max("node").over(one)})
+    met = met.where(F.col("hits").isNotNull() | (F.col("low") != F.col("high"))).select("key", "salt", "node", "need", "n").distinct()
+    first = scratch.write(enough(met).select("key", "node", "need"), "shared")
+
+    # partners may have gone; few rows are left, and adaptive execution splits the keys that still have very many
+    stats = first.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
+    again = enough(first.join(stats.select("key", "n"), "key"))
     ranked = again.withColumn("rank", F.row_number().over(mine.orderBy("n", "key")))
-    useful = ranked.where(F.col("rank") <= F.col("have") - F.col("must") + 1).select("key", "node")
-    return useful.withColumn("low", F.min("node").over(key)).where(F.col("node") != F.col("low")).select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    useful = scratch.write(ranked.where(F.col("rank") <= F.col("have") - F.col("must") + 1).select("key", "node"), "useful")
+    lows = useful.groupBy("key").agg(F.min("node").alias("low"))
+    return useful.join(lows, "key").where(F.col("node") != F.col("low")).select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -289,10 +342,13 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     keyed = with_row_key(docs.select("doc_id", "text"), "doc_id", "text")
-    sized = scratch.write(keyed.select("text", "doc_id", "_rk1", "_rk2").mapInArrow(_sizes, "doc_id long, _rk1 long, _rk2 long, n long, node long"), "sized")
-    star = scratch.write(_candidates(docs, scratch), "candidates")
+    schema = "doc_id long, _rk1 long, _rk2 long, n long, node long, key long, hits long"
+    both = scratch.write(keyed.select("text", "doc_id", "_rk1", "_rk2").mapInArrow(_sizes, schema), "sized")
+    sized = both.where("hits IS NULL").drop("key", "hits")
+    hot = scratch.write(hot_keys(both.where("hits IS NOT NULL").select("key", "hits")), "hot")
+    star = scratch.write(_candidates(docs, hot, scratch), "candidates")
     clusters = scratch.write(components(star, scratch, "clusters"), "clusters").withColumnRenamed("comp", "cluster")
-    scratch.drop("candidates", "shared")
+    scratch.drop("candidates", "shared", "useful", "hot")
 
     one = sized.groupBy("node").agg(F.min(F.struct("_rk1", "_rk2", "n")).alias("r")).join(clusters, "node")
     members = scratch.write(one.select("node", "cluster", "r.n", "r._rk1", "r._rk2"), "members")

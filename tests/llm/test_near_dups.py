@@ -86,6 +86,55 @@ def test_small_chunks_give_the_same(spark, make_docs, monkeypatch):
     assert got == brute(list(enumerate(texts)))
 
 
+def test_hot_keys_are_salted_and_lose_no_link(spark, make_docs, monkeypatch):
+    """A passage in every third text: its blocks are hot; links and components stay as brute force has them."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(12)]
+    texts = []
+    for i in range(120):
+        own = [f"w{i}x{j}" for j in range(rng.choice((15, 30, 90)))]
+        texts.append(" ".join(own + passage if i % 3 == 0 else own))
+    texts += [" ".join(passage + [f"e{i}"]) for i in range(30)] + texts[:20]
+    docs = make_docs(texts)
+    want = brute(list(enumerate(texts)))
+    listed = []
+    keep = near_dups.hot_keys
+    monkeypatch.setattr(near_dups, "hot_keys", lambda counted: listed.append(keep(counted)) or listed[-1])
+    for most in (500_000, 3):
+        monkeypatch.setattr(near_dups, "HOT_KEY", 5)
+        monkeypatch.setattr(near_dups, "MAX_HOT_KEYS", most)
+        monkeypatch.setattr(near_dups, "SALTS", 4)
+        assert {tuple(r) for r in near_dups.near_duplicates(docs).collect()} == want
+        assert len(listed[-1].collect()) <= most
+    assert listed[0].count() > 0
+
+
+def test_hot_keys_are_few_and_counted(spark, monkeypatch):
+    counted = spark.createDataFrame([(1, 150), (1, 60), (2, 200), (3, 900), (4, 2)], "key long, hits long")
+    assert sorted(map(tuple, near_dups.hot_keys(counted).collect())) == [(1, 210), (3, 900)]
+    monkeypatch.setattr(near_dups, "MAX_HOT_KEYS", 2)
+    assert [tuple(r) for r in near_dups.hot_keys(counted).collect()] == [(3, 900)]
+    assert near_dups.hot_keys(counted.where("key > 9")).count() == 0
+
+
+def test_tasks_count_blocks_in_portions(monkeypatch):
+    """Whatever the portion, a key counts once for each set that shows it in a portion, and rows come through unchanged."""
+    import pyarrow as pa
+
+    text = " ".join(f"w{i}" for i in range(30))
+    texts = [f"{text} end{i}" for i in range(40)] + [text, text, "", None, "a b"]
+    n = len(texts)
+    ids = pa.array(range(n), pa.int64())
+    rb = pa.RecordBatch.from_arrays([pa.array(texts), ids, ids, ids], names=["text", "doc_id", "_rk1", "_rk2"])
+    for portion, least in ((10**6, 41), (200, 5)):
+        monkeypatch.setattr(near_dups, "TALLY", portion)
+        out = pa.Table.from_batches(list(near_dups._sizes(iter([rb.slice(i, 5) for i in range(0, n, 5)])))).to_pylist()
+        rows = [r for r in out if r["hits"] is None]
+        assert [r["doc_id"] for r in rows] == list(range(n)) and [r["n"] for r in rows[-5:]] == [26, 26, 0, 0, 1]
+        hits = [r["hits"] for r in out if r["hits"] is not None]
+        assert hits and min(hits) >= 2 and max(hits) >= least
+
+
 def test_repeated_rows_null_ids_and_extra_columns(spark):
     long = " ".join(f"w{i}" for i in range(60))
     rows = [(7, long, 1), (7, long, 2), (None, long, 3), (3, long + " x", 4), (9, "other words entirely here now", 5), (None, None, 6)]
