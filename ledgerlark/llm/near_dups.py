@@ -300,12 +300,16 @@ def _candidates(docs: DataFrame, hot: DataFrame, scratch: Scratch) -> DataFrame:
         counted = met.withColumns({"have": F.count("*").over(mine), "must": F.min(F.abs("need")).over(mine)})
         return counted.where(F.col("have") >= F.col("must"))
 
-    # the rows of a key that is not hot fit into one task; those of a hot key are dealt over many and stay unseen
-    salt = F.when(F.col("hits").isNotNull(), F.pmod("node", F.lit(SALTS)).cast("int"))
-    rows = docs.select("text").mapInArrow(_elements, "key long, node long, need int").join(F.broadcast(hot), "key", "left").withColumn("salt", salt)
-    one = Window.partitionBy("key", "salt")
-    met = rows.withColumns({"n": F.coalesce("hits", F.count("*").over(one)), "low": F.min("node").over(one), "high": F.max("node").over(one)})
-    met = met.where(F.col("hits").isNotNull() | (F.col("low") != F.col("high"))).select("key", "salt", "node", "need", "n").distinct()
+    # the rows of a key that is not hot fit into one task; those of a hot key are dealt over many places, unseen
+    listed = F.broadcast(hot.select("key", F.col("key").alias("hot_key"), "hits"))
+    place = F.when(F.col("hits").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.pmod("node", F.lit(SALTS))))
+    rows = docs.select("text").mapInArrow(_elements, "key long, node long, need int").join(listed, "key", "left")
+    one = Window.partitionBy("place")  # a single number, so that the sort stays a radix sort
+    met = rows.select(place.alias("place"), "node", "need", "hot_key", "hits").withColumns(
+        {"n": F.coalesce("hits", F.count("*").over(one)), "low": F.min("node").over(one), "high": F.max("node").over(one)}
+    )
+    met = met.where(F.col("hits").isNotNull() | (F.col("low") != F.col("high"))).select("place", "node", "need", "hot_key", "n").distinct()
+    met = met.select(F.coalesce("hot_key", "place").alias("key"), "node", "need", "n")
     first = scratch.write(enough(met).select("key", "node", "need"), "shared")
 
     # partners may have gone; few rows are left, and adaptive execution splits the keys that still have very many
