@@ -25,7 +25,7 @@ KEYS = [NPI, "period_year"]
 
 def feat_carrier_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, distinct counts, means and shares per provider-year, from the full feature job."""
-    out = fx.provider_year_features(views.claims(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir))
+    out = fx.provider_year_features(views.claim_table(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir))
     return snap_all(
         out.select(
             *KEYS,
@@ -140,7 +140,7 @@ def feat_near_dups(spark, sf_dir):
 def feat_duplicates(spark, sf_dir):
     """Duplicate rate on the dense claims, from the full feature job."""
     out = fx.provider_year_features(
-        views.claims_dense(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir)
+        views.dense_claim_table(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir)
     )
     return snap_all(
         out.select(*KEYS, "total_carrier_claims", "exact_duplicate_count", "near_duplicate_count", "duplicate_rate")
@@ -167,12 +167,12 @@ def join_claim_bene(spark, sf_dir):
 
 
 def feat_growth(spark, sf_dir):
-    out = fx.provider_year_features(views.claims(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir))
+    out = fx.provider_year_features(views.claim_table(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir))
     return snap_all(out.select(*KEYS, "prior_period_claim_count", "claim_volume_growth_pct"))
 
 
 def feat_outpatient(spark, sf_dir):
-    out = fx.provider_year_features(views.claims(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir))
+    out = fx.provider_year_features(views.claim_table(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir))
     return snap_all(out.select(*KEYS, "total_outpatient_claims", "avg_outpatient_payment"))
 
 
@@ -180,7 +180,7 @@ def feat_provider_year(spark, sf_dir):
     """Flagship: every feature for every provider-year."""
     return snap_all(
         fx.provider_year_features(
-            views.claims(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir), batch_id=1
+            views.claim_table(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir), batch_id=1
         )
     )
 

@@ -36,21 +36,21 @@ def inj_targets(spark, sf_dir):
 
 
 def inj_upcoding(spark, sf_dir):
-    return snap_all(inj.upcoding(views.claims(spark, sf_dir), feature_table(spark, sf_dir), codes=CODES).select(*SHOWN), 4)
+    return snap_all(inj.upcoding(views.claim_table(spark, sf_dir), feature_table(spark, sf_dir), codes=CODES).select(*SHOWN), 4)
 
 
 def inj_phantom_rows(spark, sf_dir):
     targets = inj.target_providers(feature_table(spark, sf_dir), "phantom_billing", inj.PHANTOM_RATE)
-    rows = inj.phantom_claims(views.claims(spark, sf_dir), targets)
+    rows = inj.phantom_claims(views.claim_table(spark, sf_dir), targets)
     return snap_all(rows.select("clm_id", "at_physn_npi", "desynpuf_id", "clm_from_dt", "primary_hcpcs_cd", "allowed_amt"))
 
 
 def inj_phantom(spark, sf_dir):
-    return snap_all(inj.phantom_billing(views.claims(spark, sf_dir), feature_table(spark, sf_dir)).select(*SHOWN), 4)
+    return snap_all(inj.phantom_billing(views.claim_table(spark, sf_dir), feature_table(spark, sf_dir)).select(*SHOWN), 4)
 
 
 def inj_duplicates(spark, sf_dir):
-    return snap_all(inj.duplicate_submission(views.claims(spark, sf_dir), feature_table(spark, sf_dir)).select(*SHOWN), 4)
+    return snap_all(inj.duplicate_submission(views.claim_table(spark, sf_dir), feature_table(spark, sf_dir)).select(*SHOWN), 4)
 
 
 def labelled(spark, sf_dir) -> DataFrame:
@@ -59,7 +59,7 @@ def labelled(spark, sf_dir) -> DataFrame:
         spark,
         sf_dir,
         "labelled",
-        lambda: inj.all_scenarios(views.claims(spark, sf_dir), feature_table(spark, sf_dir), codes=CODES),
+        lambda: inj.all_scenarios(views.claim_table(spark, sf_dir), feature_table(spark, sf_dir), codes=CODES),
     )
 
 

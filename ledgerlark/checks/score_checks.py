@@ -27,7 +27,7 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         return snap_all(
             provider_year_features(
-                views.claims(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir), batch_id=1
+                views.claim_table(spark, sf_dir), views.bene(spark, sf_dir), views.outpatient(spark, sf_dir), batch_id=1
             )
         )
 

@@ -1,12 +1,12 @@
 """Provider-by-year features.
 
-Plan shape, chosen so that no task ever holds a whole provider:
+Plan shape, chosen so that no task ever holds a whole provider of more than ``LARGE_PROVIDER`` claims:
 
-* ``claim_cells`` collapses claims to one row per (provider, beneficiary, code, day) with a map-side
-  combine.  Every later step starts from that one shuffle (Spark reuses the exchange) or from
-  ``amount_cells``, so claims are scanned twice, each time with few columns.
-* Each further level groups on fine keys, again combined map-side; what is shuffled on (provider,
-  year) alone is at most one row per task and provider-year.
+* ``claim_cells`` collapses claims to one row per (provider, beneficiary, code, day).  Every later step starts
+  from that one shuffle (Spark reuses the exchange) or from ``amount_cells``, each with few columns.
+* Claims of all but very large providers are laid out by provider before that, so the levels below need no shuffle of their
+  own and no map-side hash table of nearly distinct rows.  For a very large provider each further level groups on
+  fine keys, combined map-side; what is shuffled on (provider, year) alone is at most one row per task and provider-year.
 * Additive results of all branches are stacked and folded by a single aggregate instead of a chain of
   joins.  The two branches with non-hashable aggregates join at the end, already co-partitioned.
 """
@@ -30,6 +30,8 @@ FULL_END = "9999-12-31"
 # Ids in a broadcast provider list: about 50 MB as a hash table.
 BROADCAST_PROVIDERS = 500_000
 _SALTS = 32
+# Claims of a provider up to which one task may fold it.
+LARGE_PROVIDER = 1_000_000
 
 
 def _count_if(cond: Column, weight: str = "cnt") -> Column:
@@ -82,6 +84,12 @@ def _dated(claims: DataFrame) -> DataFrame:
     return claims.filter(F.col(PROVIDER).isNotNull() & F.year("clm_from_dt").isNotNull())
 
 
+def large_providers(claims: DataFrame, bound: int | None = None) -> list[str]:
+    """Providers with more than ``bound`` claims: at most the number of claims over the bound."""
+    counts = claims.filter(F.col(PROVIDER).isNotNull()).groupBy(PROVIDER).count()
+    return [r[PROVIDER] for r in counts.filter(F.col("count") > (LARGE_PROVIDER if bound is None else bound)).collect()]
+
+
 # --- shared pre-aggregates -----------------------------------------------------------------------
 
 
@@ -283,13 +291,25 @@ def provider_year_features(
     """All features, one row per (provider, year).
 
     With a window, only providers active in (start, end] are computed, from their full history.
+
+    Claims are shuffled once, by provider: all that is grouped by a provider and more is then folded where it lies.  Providers with more
+    than ``LARGE_PROVIDER`` claims go by the finer keys of each branch instead.  ``claims`` is read four times.
     """
     if start is not None or end is not None:
         # Written once: three joins below read the list, and its length decides how they are done.
         active = materialise(active_providers(claims, start or FULL_START, end or FULL_END), "active-providers")
         claims = keep_providers(claims, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
         outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
-    return features_of_cells(claim_cells(claims), amount_cells(claims), bene, outpatient, batch_id, death_any_year)
+
+    def folded(own: DataFrame, op: DataFrame) -> DataFrame:
+        return features_of_cells(claim_cells(own), amount_cells(own), bene, op, batch_id, death_any_year)
+
+    names = large_providers(claims)
+    if not names:
+        return folded(claims.repartition(PROVIDER), outpatient)
+    large = F.coalesce(F.col(PROVIDER).isin(names), F.lit(False))
+    rest = folded(claims.filter(~large).repartition(PROVIDER), outpatient.filter(~large))
+    return rest.unionByName(folded(claims.filter(large), outpatient.filter(large)))
 
 
 def features_of_cells(

@@ -15,9 +15,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Never settle for a coarser inherited partitioning (say, on provider alone) when grouping on
-    # finer keys: one provider may hold a third of the claims.
-    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
