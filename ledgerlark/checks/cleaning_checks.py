@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.checks.support import CLAIMS, snap_all, sql_snap
@@ -22,10 +22,16 @@ _ZONES: dict[tuple[str, str], str] = {}
 _BENE_FILE = "DE1_0_{year}_Beneficiary_Summary_File_Sample_{s}"
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(path)
+def _write_csvs(df: DataFrame, root: str, files: list[tuple[str, str]], sample: Column, file: Column, *unwritten: str) -> None:
+    """The CSV files (sample, name) of one header by one job, so that the view behind them is run once."""
+
+    def write(out: DataFrameWriter, path: str) -> None:
+        out.option("header", True).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).csv(path)
+
+    places = {(s, f): f"{root}/csv/{s}/{f}.csv" for s, f in files}
+    raw.write_by_file(df.withColumns({"_sample": sample, "_file": file}).drop(*unwritten), f"{root}/_writing", places, write)
 
 
 def raw_zone(spark: SparkSession, sf_dir: str) -> str:
@@ -43,25 +49,20 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> str:
     wide = views.wide_claims(spark, sf_dir)
     k = F.coalesce(F.col("clm_id"), F.lit("0")).cast("bigint")
     part = F.when(k % 3 == 0, "1A").when(k % 3 == 1, "1B").otherwise("2A")
-    for name in ("1A", "1B", "2A"):
-        sample = f"sample_0{name[0]}"
-        _write_csv(
-            wide.filter(part == name), f"{root}/csv/{sample}/DE1_0_2008_to_2010_Carrier_Claims_Sample_{name}.csv"
-        )
+    carrier = "DE1_0_2008_to_2010_Carrier_Claims_Sample_"
+    files = [(f"sample_0{n[0]}", carrier + n) for n in ("1A", "1B", "2A")]
+    _write_csvs(wide, root, files, F.concat(F.lit("sample_0"), F.substring(part, 1, 1)), F.concat(F.lit(carrier), part))
     op = views.raw_outpatient(spark, sf_dir)
     odd = F.col("desynpuf_id").cast("bigint") % 2
-    _write_csv(op.filter(odd == 0), f"{root}/csv/sample_01/DE1_0_2008_to_2010_Outpatient_Claims_Sample_1.csv")
-    _write_csv(
-        op.filter(odd == 1).drop("clm_pmt_amt"),
-        f"{root}/csv/sample_02/DE1_0_2008_to_2010_Outpatient_Claims_Sample_2.csv",
-    )
+    for s, rows in ((1, op.filter(odd == 0)), (2, op.filter(odd == 1).drop("clm_pmt_amt"))):  # two headers
+        f = f"DE1_0_2008_to_2010_Outpatient_Claims_Sample_{s}"
+        _write_csvs(rows, root, [(f"sample_0{s}", f)], F.lit(f"sample_0{s}"), F.lit(f))
     bene = views.raw_beneficiary(spark, sf_dir).drop("sample_id")
     years = F.when(F.col("year") <= 1996, 2008).when(F.col("year") <= 1998, 2009).otherwise(2010)
     half = F.coalesce(F.trim("desynpuf_id"), F.lit("0")).cast("bigint") % 2
-    for s in (1, 2):
-        for y in (2008, 2009, 2010):
-            rows = bene.filter((half == s - 1) & (years == y)).drop("year")
-            _write_csv(rows, f"{root}/csv/sample_0{s}/{_BENE_FILE.format(year=y, s=s)}.csv")
+    files = [(f"sample_0{s}", _BENE_FILE.format(year=y, s=s)) for s in (1, 2) for y in (2008, 2009, 2010)]
+    file = F.format_string(_BENE_FILE.format(year="%d", s="%d"), years, half + 1)
+    _write_csvs(bene.filter(half.isin(0, 1)), root, files, F.concat(F.lit("sample_0"), half + 1), file, "year")
     raw.convert_all(spark, f"{root}/csv", f"{root}/parquet")
     _ZONES[key] = root
     return root

@@ -6,10 +6,11 @@ Layout: ``<root>/<sample>/<file name>.csv``; a "file" may also be a folder of CS
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,14 +19,19 @@ from ledgerlark.schema import RAW_BY_TYPE
 from ledgerlark.sources.tables import drop_path, file_system, folders, path_exists
 
 SAMPLES = ("sample_01", "sample_02")
+#: Files that a task may have open at a time; Spark sorts the rows of a task that meets more.
+MAX_WRITERS = 16
 
 _FILE = r"([^/]+)\.(?:csv|parquet)(?:/[^/]+)?$"
 _SAMPLE = r"([^/]+)/[^/]+\.(?:csv|parquet)(?:/[^/]+)?$"
 
 
 def own_path() -> Column:
-    """Path of the file a row came from, as it is written; the metadata column shows it percent-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    """End of the path of the file a row came from, as it is written; the metadata column shows it percent-encoded.
+
+    Sample, file and part are the last three names.  A short text keeps what is done with it in every row cheap.
+    """
+    return F.url_decode(F.replace(F.substring_index(F.col("_metadata.file_path"), "/", -3), F.lit("+"), F.lit("%2B")))
 
 
 def file_name(path: Column | None = None) -> Column:
@@ -104,6 +110,37 @@ def group_files(spark: SparkSession, files: Sequence[tuple[str, str, str]]) -> l
     return out
 
 
+@contextmanager
+def files_side_by_side(spark: SparkSession):
+    """Tasks write rows of a few files as they come: with a writer per file there is no need to sort them by file first."""
+    name, before = "spark.sql.maxConcurrentOutputFileWriters", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set(name, str(max(MAX_WRITERS, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def write_by_file(rows: DataFrame, staged: str, places: dict[tuple[str, str], str], write: Callable[[DataFrameWriter, str], None]) -> None:
+    """Rows with ``_sample`` and ``_file`` written by one job to a folder beside, whose parts are then moved to the places of
+    their (sample, file).  A place without rows gets an empty file with the columns."""
+    spark = rows.sparkSession
+    try:
+        with files_side_by_side(spark):
+            write(rows.write.partitionBy("_sample", "_file"), staged)
+        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        parts = {f"{staged}/_sample={escape(s)}/_file={escape(f)}": place for (s, f), place in places.items()}
+        made = {f"{staged}/{a}/{b}" for a in folders(spark, staged) for b in folders(spark, f"{staged}/{a}")}
+        if made - set(parts):
+            raise OSError(f"rows of unknown files: {sorted(made - set(parts))}")
+        for part, place in parts.items():
+            if part not in made:  # a file without rows
+                write(rows.drop("_sample", "_file").limit(0).coalesce(1).write, part)
+            _publish(spark, part, place)
+    finally:
+        drop_path(spark, staged)
+
+
 def _publish(spark: SparkSession, staged: str, target: str) -> None:
     """Move a complete folder to its place; what stood there goes first."""
     fs, source = file_system(spark, staged)
@@ -146,20 +183,8 @@ def convert_all(
 
 def _convert(spark: SparkSession, group: FileGroup, root: str, target) -> None:
     staged = f"{root}/_converting-{uuid.uuid4().hex[:12]}"
-    rows = group.read(spark)
-    try:
-        rows.write.partitionBy("_sample", "_file").option("compression", "snappy").parquet(staged)
-        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        places = {f"{staged}/_sample={escape(s)}/_file={escape(f)}": (s, f) for s, f, _ in group.files}
-        made = {f"{staged}/{a}/{b}" for a in folders(spark, staged) for b in folders(spark, f"{staged}/{a}")}
-        if made - set(places):
-            raise OSError(f"rows of unknown files: {sorted(made - set(places))}")
-        for place, (s, f) in places.items():
-            if place not in made:  # a file without rows
-                rows.drop("_sample", "_file").limit(0).coalesce(1).write.parquet(place)
-            _publish(spark, place, target(s, f))
-    finally:
-        drop_path(spark, staged)
+    places = {(s, f): target(s, f) for s, f, _ in group.files}
+    write_by_file(group.read(spark), staged, places, lambda out, path: out.option("compression", "snappy").parquet(path))
 
 
 def staging(spark: SparkSession, parquet_root: str, file_type: str, samples: Sequence[str] = SAMPLES) -> DataFrame:
