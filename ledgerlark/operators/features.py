@@ -32,6 +32,9 @@ BROADCAST_PROVIDERS = 500_000
 _SALTS = 32
 # Claims of a provider up to which one task may fold it.
 LARGE_PROVIDER = 1_000_000
+# Claims that a task folds on average.  The partitions are counted, so that adaptive execution does not join them again
+# by their compressed size: their hash tables and sorts are several times larger, and would spill.
+CLAIMS_PER_TASK = 200_000
 
 
 def _count_if(cond: Column, weight: str = "cnt") -> Column:
@@ -84,10 +87,12 @@ def _dated(claims: DataFrame) -> DataFrame:
     return claims.filter(F.col(PROVIDER).isNotNull() & F.year("clm_from_dt").isNotNull())
 
 
-def large_providers(claims: DataFrame, bound: int | None = None) -> list[str]:
-    """Providers with more than ``bound`` claims: at most the number of claims over the bound."""
+def large_providers(claims: DataFrame) -> tuple[list[str], int]:
+    """Providers with more than ``LARGE_PROVIDER`` claims, at most the number of claims over it, and the claims of all others."""
     counts = claims.filter(F.col(PROVIDER).isNotNull()).groupBy(PROVIDER).count()
-    return [r[PROVIDER] for r in counts.filter(F.col("count") > (LARGE_PROVIDER if bound is None else bound)).collect()]
+    is_large = F.col("count") > LARGE_PROVIDER
+    row = counts.agg(F.collect_list(F.when(is_large, F.col(PROVIDER))).alias("names"), F.sum(F.when(~is_large, F.col("count"))).alias("n")).first()
+    return sorted(row["names"]), row["n"] or 0
 
 
 # --- shared pre-aggregates -----------------------------------------------------------------------
@@ -304,11 +309,12 @@ def provider_year_features(
     def folded(own: DataFrame, op: DataFrame) -> DataFrame:
         return features_of_cells(claim_cells(own), amount_cells(own), bene, op, batch_id, death_any_year)
 
-    names = large_providers(claims)
+    names, n = large_providers(claims)
+    parts = max(1, -(-n // CLAIMS_PER_TASK))
     if not names:
-        return folded(claims.repartition(PROVIDER), outpatient)
+        return folded(claims.repartition(parts, PROVIDER), outpatient)
     large = F.coalesce(F.col(PROVIDER).isin(names), F.lit(False))
-    rest = folded(claims.filter(~large).repartition(PROVIDER), outpatient.filter(~large))
+    rest = folded(claims.filter(~large).repartition(parts, PROVIDER), outpatient.filter(~large))
     return rest.unionByName(folded(claims.filter(large), outpatient.filter(large)))
 
 

@@ -81,11 +81,19 @@ def test_large_providers_have_the_same_features(spark, monkeypatch):
 
 def test_large_provider_is_not_gathered(spark, monkeypatch):
     monkeypatch.setattr(fx, "LARGE_PROVIDER", 30)
-    assert fx.large_providers(claims(spark)) == ["P1"]
+    assert fx.large_providers(claims(spark)) == (["P1"], 28)
     plan = fx.provider_year_features(claims(spark), *side_tables(spark))._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(at_physn_npi#\d+, desynpuf_id#\d+, primary_hcpcs_cd#\d+, ", plan)
 
 
+def test_partitions_follow_the_claims(spark, monkeypatch):
+    whole = rows_of(fx.provider_year_features(claims(spark), *side_tables(spark)))
+    monkeypatch.setattr(fx, "CLAIMS_PER_TASK", 10)
+    df = fx.provider_year_features(claims(spark), *side_tables(spark))
+    assert re.search(r"hashpartitioning\(at_physn_npi#\d+, 7\), REPARTITION_BY_NUM", df._jdf.queryExecution().executedPlan().toString())
+    assert rows_of(df) == whole
+
+
 def counted(monkeypatch):
     ran, real = [], views.run_view
     monkeypatch.setattr(views, "run_view", lambda spark, d, sql: ran.append(sql) or real(spark, d, sql))
