@@ -52,7 +52,7 @@ def inc_late_rows(spark, sf_dir):
 def inc_refresh(spark, sf_dir):
     """Two batches of claims, the second one dated after a position: each adds its cells, then the features of the providers
     it names are folded from all cells and replaced.  Equals a full refresh wherever a provider has a claim in the second batch."""
-    claims = views.claims_dense(spark, sf_dir)
+    claims = views.dense_claim_table(spark, sf_dir)
     bene, op = views.bene(spark, sf_dir), views.outpatient(spark, sf_dir)
     root = scratch_path(spark, "refresh")
     state = ClaimState(spark, f"{root}/state")
