@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +70,24 @@ class Scratch:
 TEXT_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+def give_back() -> None:
+    """Return freed memory to the system.  Python workers live on for later stages, and the C library keeps what arrays have left."""
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc has it
+        trim(0)
+
+
+def freeing(run):
+    """A function over record batches that gives back memory at the end of each task."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def slices(batches, rows: int = 500):
     """Record batches cut into views of few rows, so that what a task builds from whole texts stays small."""
     for rb in batches:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import Scratch, join_on_key, shuffle_partitions, slices, with_row_key
+from ledgerlark.llm.common import Scratch, freeing, join_on_key, shuffle_partitions, slices, with_row_key
 
 BATCHES = 4
 FANOUT = 2
@@ -149,7 +149,7 @@ def repeated_keys(docs: DataFrame, scratch: Scratch, min_docs: int, min_chars: i
     """Hashes of the keys held by at least ``min_docs`` documents."""
     spark = docs.sparkSession
     dealt = docs.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int").alias("batch"))
-    counted = scratch.write(dealt.mapInArrow(partial(_count_keys, min_chars=min_chars), "batch int, h1 long, h2 long, n long"), "counts", "batch")
+    counted = scratch.write(dealt.mapInArrow(freeing(partial(_count_keys, min_chars=min_chars)), "batch int, h1 long, h2 long, n long"), "counts", "batch")
     runs = LineRuns(spark, scratch)
     for b in range(batches):
         runs.add(counted.where(F.col("batch") == b).groupBy(*_KEY).agg(F.sum("n").alias("n")), min_docs)
@@ -171,10 +171,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     keyed = with_row_key(docs, "doc_id", "text")
     hits = (
         keyed.select("text", "_rk1", "_rk2")
-        .mapInArrow(partial(_line_hashes, min_chars=min_chars), "_rk1 long, _rk2 long, h1 long, h2 long, line int")
+        .mapInArrow(freeing(partial(_line_hashes, min_chars=min_chars)), "_rk1 long, _rk2 long, h1 long, h2 long, line int")
         .join(hot, _KEY, "left_semi")
         .groupBy("_rk1", "_rk2").agg(F.collect_set("line").alias("_gone"))
     )
     joined = join_on_key(keyed, hits, "left").select(*docs.columns, "_gone")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", n_lines long, n_dropped long"
-    return joined.mapInArrow(partial(_keep_lines, text_at=docs.columns.index("text")), schema)
+    return joined.mapInArrow(freeing(partial(_keep_lines, text_at=docs.columns.index("text"))), schema)

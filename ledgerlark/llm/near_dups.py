@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import TEXT_BATCH, Scratch, setting, with_row_key
+from ledgerlark.llm.common import TEXT_BATCH, Scratch, freeing, setting, with_row_key
 from ledgerlark.llm.graph import components
 from ledgerlark.llm.hashing import mix, shingle_set, word_hashes
 
@@ -303,7 +303,7 @@ def _candidates(docs: DataFrame, hot: DataFrame, scratch: Scratch) -> DataFrame:
     # the rows of a key that is not hot fit into one task; those of a hot key are dealt over many places, unseen
     listed = F.broadcast(hot.select("key", F.col("key").alias("hot_key"), "hits"))
     place = F.when(F.col("hits").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.pmod("node", F.lit(SALTS))))
-    rows = docs.select("text").mapInArrow(_elements, "key long, node long, need int").join(listed, "key", "left")
+    rows = docs.select("text").mapInArrow(freeing(_elements), "key long, node long, need int").join(listed, "key", "left")
     one = Window.partitionBy("place")  # a single number, so that the sort stays a radix sort
     met = rows.select(place.alias("place"), "node", "need", "hot_key", "hits").withColumns(
         {"n": F.coalesce("hits", F.count("*").over(one)), "low": F.min("node").over(one), "high": F.max("node").over(one)}
@@ -347,7 +347,7 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     scratch = Scratch(spark, "near")
     keyed = with_row_key(docs.select("doc_id", "text"), "doc_id", "text")
     schema = "doc_id long, _rk1 long, _rk2 long, n long, node long, key long, hits long"
-    both = scratch.write(keyed.select("text", "doc_id", "_rk1", "_rk2").mapInArrow(_sizes, schema), "sized")
+    both = scratch.write(keyed.select("text", "doc_id", "_rk1", "_rk2").mapInArrow(freeing(_sizes), schema), "sized")
     sized = both.where("hits IS NULL").drop("key", "hits")
     hot = scratch.write(hot_keys(both.where("hits IS NOT NULL").select("key", "hits")), "hot")
     star = scratch.write(_candidates(docs, hot, scratch), "candidates")
@@ -362,7 +362,7 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         wanted = F.broadcast(wanted)
     # a repeated row has the same key, node and text
     chosen = keyed.join(wanted, ["_rk1", "_rk2"]).select("text", "node")
-    sets = scratch.write(chosen.mapInArrow(_sets, "node long, shingles array<long>"), "sets")
+    sets = scratch.write(chosen.mapInArrow(freeing(_sets), "node long, shingles array<long>"), "sets")
 
     parts = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
     chunks = F.greatest(F.ceil(F.col("docs") / CHUNK_DOCS), F.ceil(F.col("total") / CHUNK_SHINGLES)).cast("int")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-from ledgerlark.llm.common import TEXT_BATCH, Scratch, setting
+from ledgerlark.llm.common import TEXT_BATCH, Scratch, freeing, give_back, setting
 
 CAPACITY = 2048
 END_ID = 0
@@ -129,6 +129,7 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
 
 
 def _cut_pieces(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    give_back()  # earlier jobs may have used this worker
     tokens = _tokens(path or public_tokenizers.path(VOCABULARY))
     end = np.array([END_ID], dtype="<u4").tobytes()
     for rb in batches:
@@ -239,7 +240,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str |
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     cut = partial(_cut_pieces, path=vocabulary, capacity=capacity, with_ids=with_ids)
     with setting(spark, *TEXT_BATCH):
-        pieces = scratch.write(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema), "pieces")
+        pieces = scratch.write(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(freeing(cut), schema), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return pieces.withColumns({"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
