@@ -41,6 +41,36 @@ def test_planned_view_has_the_rows_of_its_text(spark, tables, text, monkeypatch)
     assert got and got == rows_of(views.run_view(spark, tables, text))
 
 
+def beneficiaries(spark, d):
+    """Customers that come once, twice alike, twice with another balance or nation, without an id (key 103), and with a balance that no column shows (27,720)."""
+    money = [(1, 2, 10.004), (2, 3, 5.0), (2, 3, 5.0), (3, 1, 7.0), (3, 1, 8.0), (4, 1, None), (5, None, 1.0), (5, 6, 1.0), (103, 2, 4.0), (103, 2, 4.0), (103, 3, 4.0)]
+    money += [(27720, 1, 1.0), (27720, 1, 2.0), (None, 1, 1.0), (9, 1, 1.0)]
+    spark.createDataFrame(money, "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{d}/customer.parquet")
+    days = ["1996-01-05", "1996-07-05", "1998-02-01", None]
+    orders = [(k, day) for k in (1, 2, 3, 4, 5, 103, 27720, None, 77) for day in days]
+    spark.createDataFrame(orders, "o_custkey long, d string").selectExpr("o_custkey", "cast(d AS timestamp_ntz) AS o_orderdate").write.parquet(f"{d}/orders.parquet")
+    return d
+
+
+def test_planned_beneficiaries_have_the_rows_of_their_text(spark, tmp_path, monkeypatch):
+    d = beneficiaries(spark, str(tmp_path))
+    planned = views.raw_beneficiary(spark, d)
+    got, names = rows_of(planned), planned.columns
+    monkeypatch.setattr(views, "_PLANNED", {})
+    text = views.raw_beneficiary(spark, d)
+    assert names == text.columns and planned.schema.simpleString() == text.schema.simpleString()
+    assert len(got) == 3 * 10 and got == rows_of(text)
+
+
+def test_beneficiaries_are_distinct_before_they_are_wide(spark, tmp_path):
+    """Only rows without an id or of a repeated customer are compared as wide rows."""
+    df = views.raw_beneficiary(spark, beneficiaries(spark, str(tmp_path)))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    compared = [line for line in plan.splitlines() if "Exchange hashpartitioning(desynpuf_id" in line]
+    narrow = [line for line in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
+    assert "Union" in plan and len(compared) == 1 and narrow and not any("sp_state_code" in line for line in narrow)
+
+
 def test_lines_meet_their_order_before_they_are_spread_over_slots(spark):
     plan = views.wide_claims(spark, SF)._jdf.queryExecution().executedPlan().toString()
     by_order = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(l_orderkey", line)]
