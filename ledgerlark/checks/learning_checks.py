@@ -132,10 +132,10 @@ def _scored(spark, sf_dir):
 
 
 def sup_gbt(spark, sf_dir):
-    """Held-out rows scored by the boosted model: labels, whether the probability is one and is not that of every row."""
-    scored = sup.predict(boosted_model(spark, sf_dir), once_per_session(spark, sf_dir, "split", lambda: _split(spark, sf_dir)).filter("is_test"))
+    """Held-out rows scored by the boosted model: labels, whether the probability is one and is not that of every split row."""
+    scored = _scored(spark, sf_dir)
     spread = scored.agg(F.max("prob") - F.min("prob")).scalar()
-    return scored.select("at_physn_npi", "scenario", "label", (F.col("prob").between(0, 1) & (spread > 0.01)).alias("prob_in_range"))
+    return scored.filter("is_test").select("at_physn_npi", "scenario", "label", (F.col("prob").between(0, 1) & (spread > 0.01)).alias("prob_in_range"))
 
 
 def sup_quality(spark, sf_dir):
