@@ -246,16 +246,27 @@ def with_beneficiary(cells: DataFrame, bene: DataFrame, death_any_year: bool = F
     return joined
 
 
-def beneficiary_profile(joined: DataFrame) -> DataFrame:
+def beneficiary_profile(joined: DataFrame, parts: int | None = None) -> DataFrame:
     """Per (provider, year, state): claims, claims after death, in the death year, and of
-    beneficiaries with three or more conditions."""
+    beneficiaries with three or more conditions.
+
+    With ``parts``, rows go back to their provider before they are counted, so that no task of the join, whose size
+    adaptive execution chooses by compressed bytes, holds a hash table of nearly distinct rows beside its sorts.
+    """
     died = F.col("death_date").isNotNull()
-    return joined.groupBy(*KEYS, "state_code").agg(
-        F.sum("cnt").alias("cnt"),
-        _count_if(died & (F.col("day") > F.col("death_date"))).alias("after_death"),
-        _count_if(died & (F.col(YEAR) == F.year("death_date"))).alias("death_year"),
-        _count_if(F.col("conditions") >= 3).alias("burdened"),
-    )
+
+    def claims_if(cond: Column) -> Column:
+        return F.when(cond, F.col("cnt")).otherwise(F.lit(0))
+
+    counted = {
+        "cnt": F.col("cnt"),
+        "after_death": claims_if(died & (F.col("day") > F.col("death_date"))),
+        "death_year": claims_if(died & (F.col(YEAR) == F.year("death_date"))),
+        "burdened": claims_if(F.col("conditions") >= 3),
+    }
+    rows = joined.select(*KEYS, "state_code", *[c.alias(n) for n, c in counted.items()])
+    rows = rows if parts is None else rows.repartition(parts, PROVIDER)
+    return rows.groupBy(*KEYS, "state_code").agg(*[F.sum(n).alias(n) for n in counted])
 
 
 # --- everything together -------------------------------------------------------------------------
@@ -297,7 +308,7 @@ def provider_year_features(
 
     With a window, only providers active in (start, end] are computed, from their full history.
 
-    Claims are shuffled once, by provider: all that is grouped by a provider and more is then folded where it lies.  Providers with more
+    Claims are shuffled by provider, and once more to meet their beneficiaries: all that is grouped by a provider and more is then folded where it lies.  Providers with more
     than ``LARGE_PROVIDER`` claims go by the finer keys of each branch instead.  ``claims`` is read four times.
     """
     if start is not None or end is not None:
@@ -306,26 +317,36 @@ def provider_year_features(
         claims = keep_providers(claims, active, ("desynpuf_id", "primary_hcpcs_cd", "clm_from_dt"))
         outpatient = keep_providers(outpatient, active, ("desynpuf_id", "clm_from_dt", "clm_pmt_amt"))
 
-    def folded(own: DataFrame, op: DataFrame) -> DataFrame:
-        return features_of_cells(claim_cells(own), amount_cells(own), bene, op, batch_id, death_any_year)
+    def folded(own: DataFrame, op: DataFrame, parts: int | None = None) -> DataFrame:
+        own = own if parts is None else own.repartition(parts, PROVIDER)
+        return features_of_cells(claim_cells(own), amount_cells(own), bene, op, batch_id, death_any_year, parts)
 
     names, n = large_providers(claims)
     parts = max(1, -(-n // CLAIMS_PER_TASK))
     if not names:
-        return folded(claims.repartition(parts, PROVIDER), outpatient)
+        return folded(claims, outpatient, parts)
     large = F.coalesce(F.col(PROVIDER).isin(names), F.lit(False))
-    rest = folded(claims.filter(~large).repartition(parts, PROVIDER), outpatient.filter(~large))
+    rest = folded(claims.filter(~large), outpatient.filter(~large), parts)
     return rest.unionByName(folded(claims.filter(large), outpatient.filter(large)))
 
 
 def features_of_cells(
-    cells: DataFrame, amount: DataFrame, bene: DataFrame, outpatient: DataFrame, batch_id: int = 0, death_any_year: bool = False
+    cells: DataFrame,
+    amount: DataFrame,
+    bene: DataFrame,
+    outpatient: DataFrame,
+    batch_id: int = 0,
+    death_any_year: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
-    """All features from ``claim_cells`` and ``amount_cells``, which may come from stored tables."""
+    """All features from ``claim_cells`` and ``amount_cells``, which may come from stored tables.
+
+    ``parts`` names the partitions by provider if both are laid out so.
+    """
     days = day_counts(cells)
     benes = beneficiary_counts(cells)
     dups = duplicate_days(cells)
-    profile = beneficiary_profile(with_beneficiary(cells, bene, death_any_year))
+    profile = beneficiary_profile(with_beneficiary(cells, bene, death_any_year), parts)
 
     one = F.lit(1)
     stacked = (

@@ -163,3 +163,58 @@ def test_files_are_written_without_sorting_rows_by_file(spark, tmp_path):
     back = {i: sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/out/f{i}").collect()) for i in range(4)}
     assert back == {i: [x for x in range(30) if x % 3 == i] for i in range(4)}
     assert spark.read.parquet(f"{tmp_path}/out/f3").columns == ["id"]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)
+    yield
+    spark.conf.set(name, before)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("text", [views.CLAIMS, views.CLAIMS_DENSE])
+def test_claims_meet_their_part_before_their_order(spark, tables, text, monkeypatch, no_broadcast):
+    planned = views.run_view(spark, tables, text)
+    joins = re.findall(r"SortMergeJoin \[(l_\w+)#", plan_of(planned))
+    assert joins == ["l_orderkey", "l_partkey"]  # from the top down
+    got, kinds = rows_of(planned), planned.schema.simpleString()
+    monkeypatch.setattr(views, "_PLANNED", {})
+    as_text = views.run_view(spark, tables, text)
+    assert got and got == rows_of(as_text) and kinds == as_text.schema.simpleString()
+
+
+def test_written_claims_are_compressed_well(spark, tables):
+    files = views.claim_table(spark, tables).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_beneficiary_years_are_found_in_counted_partitions(spark, tables, monkeypatch, no_broadcast):
+    whole = rows_of(views.bene(spark, tables))
+    monkeypatch.setattr(views, "LINES_PER_TASK", 3)
+    df = views.bene(spark, tables)
+    assert re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, 7\), REPARTITION_BY_NUM", plan_of(df))
+    assert whole and rows_of(df) == whole
+
+
+def test_profile_returns_to_its_provider_before_it_is_counted(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(fx, "CLAIMS_PER_TASK", 10)
+    plan = plan_of(fx.provider_year_features(claims(spark), *side_tables(spark)))
+    assert len(re.findall(r"Exchange hashpartitioning\(at_physn_npi#\d+, 7\), REPARTITION_BY_NUM.*\n.*Project \[at_physn_npi#\d+, period_year#\d+, state_code#", plan)) == 1
+    assert not re.search(r"Exchange hashpartitioning\(at_physn_npi#\d+, period_year#\d+, state_code#", plan)
+
+
+def test_profile_is_the_same_by_provider(spark):
+    rows = [("P1", 2008, "2008-05-01", 2), ("P1", 2008, "2008-07-01", 3), ("P2", 2009, "2009-01-01", 1), (None, 2008, "2008-01-01", 1)]
+    joined = spark.createDataFrame(rows, "at_physn_npi string, period_year int, d string, cnt long").selectExpr(
+        "*", "cast(d AS date) AS day", "CASE WHEN cnt < 3 THEN 'A' END AS state_code", "cast('2008-04-01' AS date) AS death_date", "cast(cnt + 1 AS int) AS conditions"
+    )
+    got = rows_of(fx.beneficiary_profile(joined, 3))
+    assert got == rows_of(fx.beneficiary_profile(joined)) == [
+        ("P1", 2008, "A", 2, 2, 2, 2), ("P1", 2008, None, 3, 3, 3, 3), ("P2", 2009, "A", 1, 1, 0, 0), (None, 2008, "A", 1, 0, 1, 0)
+    ]
